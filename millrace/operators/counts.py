@@ -46,11 +46,12 @@ def topk_with_others(
     """The ``k`` most frequent keys and the remainder: [by], rank, key, count, share_pct.
 
     The remainder has rank ``k + 1`` and exists only if there are more than ``k`` keys.
-    A key that is itself called ``Others`` keeps its own row.
+    A key that is itself called ``Others`` keeps its own row. Keys come back as text.
     """
     counts = df.groupBy(*by, key).count()
     top = top_k(counts, key, k, by).select(
-        *by, "rank", key, "count", F.lit(None).cast("bigint").alias("_groups")
+        *by, "rank", F.col(key).cast("string").alias(key), "count",
+        F.lit(None).cast("bigint").alias("_groups"),
     )
     totals = counts.groupBy(*by).agg(
         F.sum("count").alias("count"), F.count(F.lit(1)).alias("_groups")

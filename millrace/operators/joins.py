@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 SLOTS = 1000
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], slots: int = SLOTS) -> DataFrame:
-    """The keys with at least ``1/slots`` of all rows, so never more than ``slots`` keys."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * slots >= total).select(*keys)
+def heavy_keys(
+    counts: DataFrame, rows: str = "count", slots: int = SLOTS
+) -> DataFrame:
+    """The groups with at least ``1/slots`` of all rows, so never more than ``slots`` groups."""
+    total = counts.agg(F.sum(rows)).scalar()
+    return counts.where(F.col(rows) * slots >= total)
 
 
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
-    heavy: DataFrame | None = None,
+    rows_per_key: str | None = None,
     slots: int = SLOTS,
 ) -> DataFrame:
     """Inner join of ``rows`` with a table that has one row per key (NULL equals NULL).
@@ -31,11 +32,11 @@ def lookup_join(
     The rows of a heavy key would all meet in one task of a shuffle join, so they are
     joined by broadcasting their few lookup rows: there are at most ``slots`` heavy keys.
     All other keys go through a shuffle join, where each holds under ``1/slots`` of the
-    rows. ``heavy`` names the heavy keys if the caller knows them already.
+    rows. ``rows_per_key`` names the column of ``lookup`` that holds the number of rows
+    of each key, if there is one; it is left out of the result. Else the keys are counted.
     """
     keys = list(keys)
-    heavy = heavy_keys(rows, keys, slots) if heavy is None else heavy.select(*keys)
-    added = [c for c in lookup.columns if c not in keys]
+    added = [c for c in lookup.columns if c not in [*keys, rows_per_key]]
 
     def same(left: str, right: str):
         return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
@@ -44,7 +45,11 @@ def lookup_join(
         pairs = left.alias("l").join(right.alias("r"), same("l", "r"))
         return pairs.select("l.*", *[F.col(f"r.{c}") for c in added])
 
-    hot = F.broadcast(heavy).alias("h")
-    hot_lookup = lookup.alias("l").join(hot, same("l", "h"), "left_semi")
-    cold_rows = rows.alias("l").join(hot, same("l", "h"), "left_anti")
+    if rows_per_key is None:
+        heavy = heavy_keys(rows.groupBy(*keys).count(), slots=slots).select(*keys)
+        hot_lookup = lookup.alias("l").join(F.broadcast(heavy).alias("h"), same("l", "h"), "left_semi")
+    else:
+        hot_lookup = heavy_keys(lookup, rows_per_key, slots)
+        heavy = hot_lookup.select(*keys)
+    cold_rows = rows.alias("l").join(F.broadcast(heavy).alias("h"), same("l", "h"), "left_anti")
     return joined(rows, F.broadcast(hot_lookup)).unionByName(joined(cold_rows, lookup))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators.joins import SLOTS, lookup_join
-from millrace.sources.scratch import checkpointed
+from millrace.sources.files import materialise
 
 
 def running_start(
@@ -22,35 +22,40 @@ def running_start(
     The ``order_col`` is unique within a group; NULL comes first. The rows are cut into
     ranges of (by, order_col), so a large group spans many tasks: each range is summed by
     itself and shifted by the total of the ranges before it. Also adds ``<out>_total``,
-    the weight of the whole group.
+    the weight of the whole group. The ranges are written to the shared folder, because
+    they must stay the same for both uses, and the result reads them from there.
     """
     by = list(by)
-    ranged = checkpointed(
+    ranged = materialise(
         groups.repartitionByRange(*by, order_col).withColumn("_range", F.spark_partition_id())
     )
-    # One row per group and range: a group has no more of them than there are ranges.
     totals = ranged.groupBy(*by, "_range").agg(F.sum(weight).alias("_sum"))
+    # A group has no more rows here than there are ranges.
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(
-        *[F.col(b).alias(f"_{b}") for b in by],
-        F.col("_range").alias("_r"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_shift"),
-        F.sum("_sum").over(whole).alias(f"{out}_total"),
+    # The end of a range cuts through one group at most, so fewer than two rows per range
+    # belong to groups that go on in another range. Only those are broadcast.
+    shifts = (
+        totals.withColumn("_ranges", F.count(F.lit(1)).over(whole))
+        .withColumn("_shift", F.sum("_sum").over(before))
+        .withColumn("_group", F.sum("_sum").over(whole))
+        .where(F.col("_ranges") > 1)
+        .select(*by, "_range", "_shift", "_group")
     )
-    same = reduce(
-        and_,
-        [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by],
-        F.col("_range") == F.col("_r"),
+    within = Window.partitionBy("_range", *by)
+    smaller = within.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.sum(weight).over(smaller)).withColumn(
+        "_local_total", F.sum(weight).over(within)
     )
-    within = (
-        Window.partitionBy("_range", *by)
-        .orderBy(order_col)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    same = reduce(
+        and_, [F.col(f"l.{b}").eqNullSafe(F.col(f"s.{b}")) for b in by],
+        F.col("l._range") == F.col("s._range"),
     )
-    local = F.coalesce(F.sum(weight).over(within), F.lit(0))
-    return ranged.withColumn("_local", local).join(shifts, same).select(
-        *groups.columns, (F.col("_local") + F.col("_shift")).alias(out), f"{out}_total"
+    zero = F.lit(0)
+    return local.alias("l").join(F.broadcast(shifts).alias("s"), same, "left").select(
+        *[F.col(f"l.{c}") for c in groups.columns],
+        (F.coalesce("_local", zero) + F.coalesce("_shift", zero)).alias(out),
+        F.coalesce("_group", "_local_total").alias(f"{out}_total"),
     )
 
 
@@ -67,7 +72,5 @@ def percent_rank_by(
     ranked = running_start(ties, order_col, "_ties", by=partition_cols, out="_below")
     size = F.col("_below_total")
     share = F.when(size == 1, F.lit(0.0)).otherwise(F.col("_below") / (size - 1))
-    ranks = ranked.select(*keys, "_ties", share.alias(out))
-    rows = ranks.agg(F.sum("_ties")).scalar()
-    heavy = ranks.where(F.col("_ties") * SLOTS >= rows)
-    return lookup_join(df, ranks.drop("_ties"), keys, heavy=heavy)
+    ranks = ranked.select(*keys, share.alias(out), "_ties")
+    return lookup_join(df, ranks, keys, rows_per_key="_ties")

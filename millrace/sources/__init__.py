@@ -7,10 +7,9 @@ from millrace.sources.files import (
     read_parquet,
     write_parquet,
 )
-from millrace.sources.scratch import checkpointed, ensure_checkpoint_dir, persisted, scratch_path
+from millrace.sources.scratch import ensure_checkpoint_dir, persisted, scratch_path
 
 __all__ = [
-    "checkpointed",
     "ensure_checkpoint_dir",
     "materialise",
     "persisted",

@@ -31,12 +31,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(_shared_root(spark))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its rows frozen in reliable storage, so a lost executor cannot change them."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{_shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
