@@ -30,7 +30,7 @@ from millrace.operators.features import (
     one_hot,
 )
 from millrace.operators.grids import activity_grid
-from millrace.operators.joins import heavy_keys, lookup_join
+from millrace.operators.joins import heavy_groups, lookup_join
 from millrace.operators.models import (
     feature_importance,
     fit_gamma,

@@ -9,19 +9,22 @@ from pyspark.sql import functions as F
 
 
 def activity_grid(
-    df: DataFrame, day: str, hour: str, by: Sequence[str] = ()
+    df: DataFrame, day: str, hour: str, by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """Row counts per day and hour from the first to the last day, zeros included.
 
+    With ``weight`` the rows are counts already, and that column is summed.
+
     Days and hours are compared as numbers. The empty cells are made from the two day
     bounds of each group and added to the counts, so no join is needed.
     """
     days, hours = F.col(day).try_cast("int"), F.col(hour).try_cast("int")
+    ones = F.col(weight) if weight else F.lit(1).cast("bigint")
     counts = (
-        df.select(*by, days.alias("day"), hours.alias("hour"))
-        .where(F.col("day").isNotNull() & F.col("hour").isNotNull())
+        df.select(*by, days.alias("day"), hours.alias("hour"), ones.alias("_ones"))
         .groupBy(*by, "day", "hour")
-        .count()
+        .agg(F.sum("_ones").alias("count"))
+        .where(F.when(F.col("day").isNotNull() & F.col("hour").isNotNull(), F.col("count")) > 0)
     )
     bounds = counts.groupBy(*by).agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
     cells = (

@@ -6,18 +6,41 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLOTS = 1000
+# A group is heavy if it holds this share of all rows or more, which at most SLOTS groups
+# can, unless it is smaller than what any task takes with ease.
+SLOTS = 10_000
+EASY_ROWS = 1_000_000
 
 
-def heavy_keys(
-    counts: DataFrame, rows: str = "count", slots: int = SLOTS
+def heavy_groups(
+    counts: DataFrame, rows: str = "count", slots: int = SLOTS, easy_rows: int = EASY_ROWS
 ) -> DataFrame:
-    """The groups with at least ``1/slots`` of all rows, so never more than ``slots`` groups."""
+    """The groups with ``1/slots`` of all rows and ``easy_rows`` rows or more.
+
+    There are at most ``slots`` of them, so they are fetched and come back as a local
+    table: small enough to broadcast, and not computed again by each use.
+    """
     total = counts.agg(F.sum(rows)).scalar()
-    return counts.where(F.col(rows) * slots >= total)
+    heavy = counts.where((F.col(rows) >= easy_rows) & (F.col(rows) * slots >= total))
+    return counts.sparkSession.createDataFrame(heavy.collect(), counts.schema)
+
+
+def same_keys(keys: Sequence[str], left: str = "l", right: str = "r") -> Column:
+    """Condition for equal keys of two aliased frames; NULL equals NULL."""
+    pairs = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(and_, pairs)
+
+
+def split_heavy(
+    rows: DataFrame, heavy: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with and without one of the keys that :func:`heavy_groups` found."""
+    known = F.broadcast(heavy.select(*keys)).alias("r")
+    left, same = rows.alias("l"), same_keys(keys)
+    return left.join(known, same, "left_semi"), left.join(known, same, "left_anti")
 
 
 def lookup_join(
@@ -26,30 +49,29 @@ def lookup_join(
     keys: Sequence[str],
     rows_per_key: str | None = None,
     slots: int = SLOTS,
+    easy_rows: int = EASY_ROWS,
 ) -> DataFrame:
     """Inner join of ``rows`` with a table that has one row per key (NULL equals NULL).
 
     The rows of a heavy key would all meet in one task of a shuffle join, so they are
-    joined by broadcasting their few lookup rows: there are at most ``slots`` heavy keys.
-    All other keys go through a shuffle join, where each holds under ``1/slots`` of the
-    rows. ``rows_per_key`` names the column of ``lookup`` that holds the number of rows
-    of each key, if there is one; it is left out of the result. Else the keys are counted.
+    joined by broadcasting the lookup rows of the heavy keys, of which there are at most
+    ``slots``. All other keys go through an ordinary join. ``rows_per_key`` names the
+    column of ``lookup`` that holds the number of rows of each key, if there is one; it
+    is left out of the result. Else the keys are counted.
     """
     keys = list(keys)
     added = [c for c in lookup.columns if c not in [*keys, rows_per_key]]
 
-    def same(left: str, right: str):
-        return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
-
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        pairs = left.alias("l").join(right.alias("r"), same("l", "r"))
+        pairs = left.alias("l").join(right.alias("r"), same_keys(keys))
         return pairs.select("l.*", *[F.col(f"r.{c}") for c in added])
 
     if rows_per_key is None:
-        heavy = heavy_keys(rows.groupBy(*keys).count(), slots=slots).select(*keys)
-        hot_lookup = lookup.alias("l").join(F.broadcast(heavy).alias("h"), same("l", "h"), "left_semi")
+        heavy = heavy_groups(rows.groupBy(*keys).count(), "count", slots, easy_rows)
     else:
-        hot_lookup = heavy_keys(lookup, rows_per_key, slots)
-        heavy = hot_lookup.select(*keys)
-    cold_rows = rows.alias("l").join(F.broadcast(heavy).alias("h"), same("l", "h"), "left_anti")
-    return joined(rows, F.broadcast(hot_lookup)).unionByName(joined(cold_rows, lookup))
+        heavy = heavy_groups(lookup.select(*keys, rows_per_key), rows_per_key, slots, easy_rows)
+    if heavy.isEmpty():
+        return joined(rows, lookup)
+    hot_rows, cold_rows = split_heavy(rows, heavy, keys)
+    hot_lookup, _ = split_heavy(lookup, heavy, keys)
+    return joined(hot_rows, F.broadcast(hot_lookup)).unionByName(joined(cold_rows, lookup))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.operators.joins import SLOTS, lookup_join
+from millrace.operators.joins import EASY_ROWS, SLOTS, heavy_groups, lookup_join, split_heavy
 from millrace.sources.files import materialise
 
 
@@ -60,17 +60,46 @@ def running_start(
 
 
 def percent_rank_by(
-    df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), out: str = "percent_rank"
+    df: DataFrame,
+    order_col: str,
+    partition_cols: Sequence[str] = (),
+    out: str = "percent_rank",
+    slots: int = SLOTS,
+    easy_rows: int = EASY_ROWS,
 ) -> DataFrame:
     """Add ``(rank - 1) / (rows - 1)`` within the partition, 0 if it has one row.
 
-    Ties share a rank and NULL ranks lowest. Only the distinct order values are ranked;
-    each row then looks its rank up, so neither a hot partition nor a hot tie needs one task.
+    Ties share a rank and NULL ranks lowest. A window sorts each partition in one task,
+    so only partitions below the heavy limit of :func:`heavy_groups` take one; the others,
+    and a whole table of ``easy_rows`` rows or more, are ranked by ranges.
     """
+    if not partition_cols:
+        if df.count() < easy_rows:
+            return df.withColumn(out, F.percent_rank().over(Window.orderBy(order_col)))
+        return _ranked_by_ranges(df, order_col, [], out, slots, easy_rows)
+    heavy = heavy_groups(df.groupBy(*partition_cols).count(), "count", slots, easy_rows)
+    window = Window.partitionBy(*partition_cols).orderBy(order_col)
+    if heavy.isEmpty():
+        return df.withColumn(out, F.percent_rank().over(window))
+    hot, cold = split_heavy(df, heavy, partition_cols)
+    return _ranked_by_ranges(hot, order_col, partition_cols, out, slots, easy_rows).unionByName(
+        cold.withColumn(out, F.percent_rank().over(window))
+    )
+
+
+def _ranked_by_ranges(
+    df: DataFrame,
+    order_col: str,
+    partition_cols: Sequence[str],
+    out: str,
+    slots: int,
+    easy_rows: int,
+) -> DataFrame:
+    """Rank the distinct order values by ranges, then let each row look its rank up."""
     keys = [*partition_cols, order_col]
     ties = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ties"))
     ranked = running_start(ties, order_col, "_ties", by=partition_cols, out="_below")
     size = F.col("_below_total")
     share = F.when(size == 1, F.lit(0.0)).otherwise(F.col("_below") / (size - 1))
     ranks = ranked.select(*keys, share.alias(out), "_ties")
-    return lookup_join(df, ranks, keys, rows_per_key="_ties")
+    return lookup_join(df, ranks, keys, "_ties", slots, easy_rows)

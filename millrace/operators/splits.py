@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions import hash_bucket
+from millrace.sources.scratch import persisted
 
-BINS = 1 << 16
+BINS = 1 << 18
+ACCURACY = 10_000
 
 
 def _as_number(df: DataFrame, col: str) -> Column:
@@ -63,68 +65,116 @@ def _last_position(fraction: float, rows: int) -> int:
     return i
 
 
+def _select_positions(cells: DataFrame, low: int, high: int, positions: set[int]) -> dict[int, int]:
+    """The value at each position (from 0) of the sorted values; ``cells`` has t and count.
+
+    Up to ``BINS`` distinct values are summed up in order. More are never sorted: each
+    round counts the rows in up to ``BINS`` equal bins of the open range and goes on
+    inside the bin that holds the wanted position.
+    """
+    if cells.count() <= BINS:
+        upto = cells.withColumn("upto", F.sum("count").over(Window.orderBy("t")))
+        holds = [(F.col("upto") - F.col("count") <= p) & (F.col("upto") > p) for p in positions]
+        found = upto.where(reduce(or_, holds)).collect()
+        return {
+            p: row["t"] for p in positions for row in found if 0 <= row["upto"] - p - 1 < row["count"]
+        }
+    # Per wanted position: the open range and the position among the rows in it.
+    state = {p: (low, high, p) for p in positions}
+    while any(lo < hi for lo, hi, _ in state.values()):
+        ranges = sorted({(lo, hi) for lo, hi, _ in state.values() if lo < hi})
+        widths = [-(-(hi - lo + 1) // BINS) for lo, hi in ranges]
+        bins = [
+            F.when(
+                F.col("t").between(lo, hi),
+                F.struct(F.lit(i).alias("range"), F.expr(f"(t - {lo}L) div {widths[i]}L").alias("bin")),
+            )
+            for i, (lo, hi) in enumerate(ranges)
+        ]
+        # At most BINS rows per range.
+        histogram = (
+            cells.select("count", F.inline(F.array_compact(F.array(*bins))))
+            .groupBy("range", "bin")
+            .agg(F.sum("count").alias("n"))
+            .withColumn("upto", F.sum("n").over(Window.partitionBy("range").orderBy("bin")))
+        )
+        holds = [
+            (F.col("range") == ranges.index((lo, hi)))
+            & (F.col("upto") - F.col("n") <= at)
+            & (F.col("upto") > at)
+            for lo, hi, at in state.values()
+            if lo < hi
+        ]
+        found = histogram.where(reduce(or_, holds)).collect()
+        for p, (lo, hi, at) in state.items():
+            for row in found:
+                before = row["upto"] - row["n"]
+                if lo < hi and ranges[row["range"]] == (lo, hi) and before <= at < row["upto"]:
+                    start = lo + row["bin"] * widths[row["range"]]
+                    end = min(hi, start + widths[row["range"]] - 1)
+                    state[p] = (start, end, at - before)
+    return {p: lo for p, (lo, _, _) in state.items()}
+
+
 def time_thresholds(
     df: DataFrame, col: str, fractions: Sequence[float]
 ) -> dict[float, int | None]:
     """For each fraction p the largest value (as a number) with ``percent_rank <= p``.
 
-    NULL ranks lowest; the result is None where only NULLs pass. The value is found by
-    counting, not sorting: each round counts the rows in up to ``BINS`` equal bins of
-    the open range and goes on inside the bin that holds the wanted position. Seconds
-    need two rounds and microseconds four, for all fractions together; every round is
-    a scan of one column with a small aggregate.
+    NULL ranks lowest; the result is None where only NULLs pass. ``df`` is scanned twice
+    for all fractions together and never sorted. The first scan sketches the quantiles.
+    The second counts the values close to a wanted quantile one by one and all others
+    together, and the exact position is looked up in those counts.
     """
     for p in fractions:
         if not 0 <= p <= 1:
             raise ValueError(f"fraction {p} is not between 0 and 1")
     numbers = df.select(_as_number(df, col).alias("t"))
-    rows, filled, lo, hi = numbers.agg(
-        F.count(F.lit(1)), F.count("t"), F.min("t"), F.max("t")
+    probes = [min(1.0, max(0.0, p + side * 3 / ACCURACY)) for p in fractions for side in (-1, 1)]
+    rows, filled, low, high, sketch = numbers.agg(
+        F.count(F.lit(1)),
+        F.count("t"),
+        F.min("t"),
+        F.max("t"),
+        F.percentile_approx("t", probes, ACCURACY),
     ).first()
     nulls = rows - filled
-    # Per fraction: the open range and the wanted position among the rows in it.
-    open_at = {}
-    for p in fractions:
-        position = _last_position(p, rows) - nulls
-        if filled and position >= 0:
-            open_at[p] = (lo, hi, position)
-    while any(low < high for low, high, _ in open_at.values()):
-        ranges = sorted({(low, high) for low, high, _ in open_at.values() if low < high})
-        widths = {r: -(-(r[1] - r[0] + 1) // BINS) for r in ranges}
-        bins = [
-            F.when(
-                F.col("t").between(*r),
-                F.struct(
-                    F.lit(i).alias("range"),
-                    F.expr(f"(t - {r[0]}L) div {widths[r]}L").alias("bin"),
-                ),
-            )
-            for i, r in enumerate(ranges)
-        ]
-        histogram = (
-            numbers.select(F.inline(F.array_compact(F.array(*bins)))).groupBy("range", "bin").count()
-        )
-        # At most BINS rows per range.
-        upto = F.sum("count").over(Window.partitionBy("range").orderBy("bin"))
-        wanted = [
-            (F.col("range") == ranges.index((low, high)))
-            & (F.col("_upto") - F.col("count") <= position)
-            & (F.col("_upto") > position)
-            for low, high, position in open_at.values()
-            if low < high
-        ]
-        found = histogram.withColumn("_upto", upto).where(reduce(or_, wanted)).collect()
-        for p, (low, high, position) in open_at.items():
-            if low == high:
-                continue
-            i = ranges.index((low, high))
-            for row in found:
-                before = row["_upto"] - row["count"]
-                if row["range"] == i and before <= position < row["_upto"]:
-                    start = low + row["bin"] * widths[low, high]
-                    end = min(high, start + widths[low, high] - 1)
-                    open_at[p] = (start, end, position - before)
-    return {p: open_at[p][0] if p in open_at else None for p in fractions}
+    positions = {p: _last_position(p, rows) - nulls for p in fractions}
+    wanted = {at for at in positions.values() if at >= 0 and filled}
+    if not wanted:
+        return dict.fromkeys(fractions)
+    # The probes are placed by the share of all rows, NULLs included, so with NULLs (or if
+    # the sketch should miss) the search falls back to the whole range.
+    near = [] if nulls else sorted(zip(sketch[::2], sketch[1::2]))
+    values = _near_positions(numbers, low, high, near, wanted) if near else None
+    if values is None:
+        values = _near_positions(numbers, low, high, [(low, high)], wanted)
+    return {p: values[at] if at in values else None for p, at in positions.items()}
+
+
+def _near_positions(
+    numbers: DataFrame, low: int, high: int, near: list[tuple[int, int]], wanted: set[int]
+) -> dict[int, int] | None:
+    """The values at the wanted positions, or None if one lies outside the near ranges.
+
+    A value outside of them counts as the first number above the range below it.
+    """
+    merged: list[tuple[int, int]] = []
+    for lo, hi in near:
+        if merged and lo <= merged[-1][1] + 1:
+            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+        else:
+            merged.append((lo, hi))
+    stand_in = F.lit(low)
+    for lo, hi in merged:
+        top = F.lit(hi if hi == high else hi + 1)
+        stand_in = F.when(F.col("t") >= lo, F.least("t", top)).otherwise(stand_in)
+    cells = numbers.where("t IS NOT NULL").select(stand_in.alias("t")).groupBy("t").count()
+    with persisted(cells) as cells:
+        values = _select_positions(cells, low, high, wanted)
+    if all(any(lo <= v <= hi for lo, hi in merged) for v in values.values()):
+        return values
+    return None
 
 
 def time_splits(

@@ -96,10 +96,19 @@ def top_domain_activity(
     ``df`` needs ``host``, ``day`` and ``hour``. A row whose time is no day 1-31 or no
     hour 0-23 (an unparsed line) has no place in the grid.
     """
-    busiest = top_domains(df, regions, k=1).select("region", "domain")
-    timed = df.select(
-        "host", F.col("day").try_cast("int").alias("day"), F.col("hour").try_cast("int").alias("hour")
-    ).where(F.col("day").between(1, 31) & F.col("hour").between(0, 23))
+    # One pass over the log: both the ranking and the grid read these counts. A filter on
+    # day and hour alone would be pushed below the counting and parse each line twice over.
+    counts = (
+        with_region(df.select("host", "day", "hour"), regions)
+        .groupBy("region", "domain", "day", "hour")
+        .count()
+    )
+    totals = counts.groupBy("region", "domain").agg(F.sum("count").alias("count"))
     # One row per region, so the broadcast side never exceeds len(regions) rows.
-    rows = with_region(timed, regions).join(F.broadcast(busiest), ["region", "domain"])
-    return activity_grid(rows, "day", "hour", by=["region", "domain"])
+    busiest = top_k(totals, "domain", 1, by=["region"]).select("region", "domain")
+    hours = (
+        counts.join(F.broadcast(busiest), ["region", "domain"])
+        .withColumns({"day": F.col("day").try_cast("int"), "hour": F.col("hour").try_cast("int")})
+        .where(F.when(F.col("day").between(1, 31) & F.col("hour").between(0, 23), F.col("count")) > 0)
+    )
+    return activity_grid(hours, "day", "hour", by=["region", "domain"], weight="count")

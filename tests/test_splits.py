@@ -8,13 +8,15 @@ from millrace.operators import (
     hash_sample,
     hash_sample_by,
     hash_split,
-    heavy_keys,
+    heavy_groups,
     lookup_join,
     percent_rank_by,
     running_start,
     time_split,
     time_splits,
+    time_thresholds,
 )
+from millrace.operators import splits
 from tests.helpers import rows
 
 FRACTIONS = [0.0, 0.25, 0.5, 0.65, 0.8, 1.0]
@@ -43,6 +45,18 @@ CASES = {
 }
 
 
+def threshold(values, p):
+    """By the definition: the largest value whose percent rank is at most p."""
+    ordered = sorted(values, key=lambda v: (v is not None, v))
+    n = len(ordered)
+    ranks = {v: ordered.index(v) / (n - 1) if n > 1 else 0.0 for v in ordered}
+    passing = [v for v in ordered if ranks[v] <= p and v is not None]
+    return max(passing) if passing else None
+
+
+THRESHOLDS = {case: {p: threshold(v, p) for p in FRACTIONS} for case, v in CASES.items()}
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_time_splits_equal_percent_rank(spark, case):
     df = times(spark, CASES[case])
@@ -90,11 +104,30 @@ def test_time_split_filter_is_pushed_down(spark, tmp_path):
         assert "PushedFilters: [" in plan and "Than" in plan.split("PushedFilters: [")[1]
 
 
+@pytest.mark.parametrize("case", CASES)
+def test_time_splits_by_rounds_of_bins(spark, monkeypatch, case):
+    monkeypatch.setattr(splits, "BINS", 4)
+    df = times(spark, CASES[case])
+    assert time_thresholds(df, "ts", FRACTIONS) == pytest.approx(THRESHOLDS[case])
+
+
+def test_time_split_when_the_sketch_misses(spark, monkeypatch):
+    """Probes that do not enclose the quantile: the search goes over the whole range."""
+    df = times(spark, [(i * 7919) % 100003 for i in range(500)])
+    want = time_thresholds(df, "ts", [0.5])
+    monkeypatch.setattr(
+        splits.F, "percentile_approx", lambda *_: F.array(F.lit(3), F.lit(9))
+    )
+    assert time_thresholds(df, "ts", [0.5]) == want
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_global_percent_rank(spark, case):
     df = times(spark, CASES[case])
     native = df.withColumn("pr", F.percent_rank().over(Window.orderBy("ts")))
-    assert rows(percent_rank_by(df, "ts", out="pr"), "id", "pr") == rows(native, "id", "pr")
+    for easy_rows in (1, 1000):
+        ours = percent_rank_by(df, "ts", out="pr", easy_rows=easy_rows)
+        assert rows(ours, "id", "pr") == rows(native, "id", "pr")
 
 
 def test_percent_rank_of_hot_and_null_partitions(spark):
@@ -102,9 +135,10 @@ def test_percent_rank_of_hot_and_null_partitions(spark):
     data += [(5000 + i, None, i) for i in range(10)]
     df = spark.createDataFrame(data, "id INT, p INT, ts INT")
     native = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("p").orderBy("ts")))
-    ours = percent_rank_by(df, "ts", ["p"], out="pr")
-    assert ours.columns == ["id", "p", "ts", "pr"]
-    assert rows(ours) == rows(native)
+    for limits in ({}, {"slots": 5, "easy_rows": 100}, {"slots": 1000, "easy_rows": 1}):
+        ours = percent_rank_by(df, "ts", ["p"], out="pr", **limits)
+        assert ours.columns == ["id", "p", "ts", "pr"]
+        assert rows(ours) == rows(native)
 
 
 def test_running_start_over_many_ranges(spark):
@@ -125,11 +159,14 @@ def test_running_start_over_many_ranges(spark):
 def test_lookup_join_with_a_hot_key(spark, slots):
     left = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 0), (None, 1), (9, 9)], "k INT, v INT")
     right = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (3, "c")], "k INT, name STRING")
-    joined = lookup_join(left, right, ["k"], slots=slots)
+    joined = lookup_join(left, right, ["k"], slots=slots, easy_rows=1)
     assert rows(joined) == sorted(
         [(1, i, "a") for i in range(50)] + [(2, 0, "b"), (None, 1, "n")], key=repr
     )
-    assert heavy_keys(left.groupBy("k").count(), slots=slots).count() <= slots
+    assert rows(lookup_join(left, right, ["k"])) == rows(joined)
+    counts = left.groupBy("k").count()
+    assert heavy_groups(counts, slots=slots, easy_rows=1).count() == {1: 0, 3: 1, 1000: 4}[slots]
+    assert heavy_groups(counts, slots=slots, easy_rows=51).isEmpty()
 
 
 def test_hash_split_ignores_partitioning(spark):
