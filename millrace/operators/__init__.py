@@ -19,6 +19,7 @@ from millrace.operators.evaluate import (
     auc,
     classification_metrics,
     compare_models,
+    fit_and_score,
     hard_auc_evaluator,
     regression_metrics,
 )
@@ -43,7 +44,7 @@ from millrace.operators.models import (
     random_forest,
 )
 from millrace.operators.ranking import percent_rank_by, running_start
-from millrace.operators.recommend import als_experiment, fit_als, user_factors
+from millrace.operators.recommend import als_experiment, fit_als, fit_cells, user_factors
 from millrace.operators.segments import (
     assign_segments,
     fit_segments,

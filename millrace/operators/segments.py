@@ -3,23 +3,32 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from millrace.operators.counts import top_k
 from millrace.operators.joins import lookup_join
 from millrace.sources.scratch import persisted
 
 
+def _vector(factors: DataFrame) -> Column:
+    """The features as a vector: k-means refuses arrays that were stored as nullable."""
+    is_array = isinstance(factors.schema["features"].dataType, ArrayType)
+    return array_to_vector("features") if is_array else F.col("features")
+
+
 def fit_segments(factors: DataFrame, k: int = 20, seed: int = 42) -> KMeansModel:
     """K-means on the ``features`` of the factors, which are persisted while it runs."""
-    with persisted(factors.select("features")) as features:
-        return KMeans(k=k, seed=seed).fit(features)
+    with persisted(factors.select(_vector(factors).alias("_vector"))) as vectors:
+        return KMeans(featuresCol="_vector", k=k, seed=seed).fit(vectors)
 
 
 def assign_segments(model: KMeansModel, factors: DataFrame) -> DataFrame:
     """id, features, prediction: the nearest centre of each user."""
-    return model.transform(factors).select("id", "features", "prediction")
+    scored = model.transform(factors.withColumn("_vector", _vector(factors)))
+    return scored.select("id", "features", "prediction")
 
 
 def largest_segments(assigned: DataFrame, k: int = 3, key: str = "prediction") -> DataFrame:
