@@ -19,6 +19,8 @@ from millrace.operators import (
     impute_mode,
     index_strings,
     linear_regression,
+    lookup_join,
+    model_pipeline,
     null_sentinel,
     one_hot,
     regression_metrics,
@@ -171,8 +173,9 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def regression_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = claims(spark, sf_dir)
-    means = rows.groupBy("Blind_Make").agg(F.avg("Claim_Amount").alias("pred"))
-    metrics = regression_metrics(rows.join(means, "Blind_Make"), "Claim_Amount", "pred")
+    means = rows.groupBy("Blind_Make").agg(F.avg("Claim_Amount").alias("pred"), F.count("*").alias("n"))
+    scored = lookup_join(rows, means, ["Blind_Make"], rows_per_key="n")
+    metrics = regression_metrics(scored, "Claim_Amount", "pred")
     return metrics.select("rows", *[F.round(m, 6).alias(m) for m in ("rmse", "mse", "mae")])
 
 
@@ -185,8 +188,7 @@ _GROUP_FIT_SQL = f"""WITH {CLAIMS_SQL}
 def _positive_by_make(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positive claims with the make as the only feature, so a fit gives the group means."""
     rows = claims(spark, sf_dir).where("Claim_Amount > 0").select("Blind_Make", "Claim_Amount")
-    encoded = one_hot(index_strings(rows, ["Blind_Make"], handle_invalid="error"), ["Blind_Make"])
-    return assemble(encoded, ["Blind_Make_vec"])
+    return one_hot(index_strings(rows, ["Blind_Make"], handle_invalid="error"), ["Blind_Make"])
 
 
 def _predicted_by_make(scored: DataFrame) -> DataFrame:
@@ -202,12 +204,13 @@ def _predicted_by_make(scored: DataFrame) -> DataFrame:
 @query("linear_group_fit", _GROUP_FIT_SQL)
 def linear_group_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _positive_by_make(spark, sf_dir)
-    return _predicted_by_make(linear_regression("Claim_Amount").fit(rows).transform(rows))
+    model = model_pipeline(["Blind_Make_vec"], linear_regression("Claim_Amount")).fit(rows)
+    return _predicted_by_make(model.transform(rows))
 
 
 @query("gamma_group_fit", _GROUP_FIT_SQL)
 def gamma_group_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _positive_by_make(spark, sf_dir)
+    rows = assemble(_positive_by_make(spark, sf_dir), ["Blind_Make_vec"])
     return _predicted_by_make(fit_gamma(rows, "Claim_Amount", reg=0.0).transform(rows))
 
 

@@ -21,6 +21,7 @@ from millrace.operators import (
     percent_rank_by,
     regression_metrics,
     segment_genres,
+    segment_ratings,
     time_split,
     time_splits,
     user_factors,
@@ -120,6 +121,37 @@ def user_genre_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumnRenamed("text", "genres")
 
 
+@query(
+    "liked_ratings",
+    f"""WITH {RATINGS_SQL}
+    SELECT userId AS "user", movieId AS movie, rating * 20 AS percent, count(*) AS copies
+    FROM ratings WHERE l_linenumber <= 3 AND l_suppkey <> 7 AND rating >= 4
+    GROUP BY userId, movieId, rating""",
+)
+def liked_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters by text and by column, added, dropped and renamed columns."""
+    rows = ratings(spark, sf_dir).where("l_linenumber <= 3").filter(F.col("l_suppkey") != 7)
+    liked = rows.filter(F.col("rating") >= 4).withColumn("percent", F.col("rating") * 20)
+    named = liked.drop(*RATING_KEY, "rating", "ts").toDF("user", "movie", "percent")
+    return named.groupBy("user", "movie", "percent").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "segment_rating_counts",
+    f"""WITH {RATINGS_SQL}
+    SELECT userId, count(*) AS rows, CAST(sum(rating) AS DOUBLE) AS total,
+           CAST(userId % 5 AS INTEGER) AS segment
+    FROM ratings WHERE userId % 5 < 2 GROUP BY userId""",
+)
+def segment_rating_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ratings(spark, sf_dir)
+    users = rows.where("userId % 5 < 2").select(F.col("userId").alias("id")).distinct()
+    users = users.withColumn("segment", F.col("id") % 5)
+    return segment_ratings(users, rows).groupBy("userId", "segment").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("rating").alias("total")
+    )
+
+
 @query(
     "segment_genres",
     f"""WITH {RATINGS_SQL}
@@ -226,7 +258,7 @@ def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "rating_metrics_by_side",
+    "rating_metrics_by_group",
     f"""WITH {RATINGS_SQL},
     means AS (SELECT movieId, avg(rating) AS pred FROM ratings GROUP BY movieId)
     SELECT r.userId % 10 AS user_group, count(*) AS rows,
@@ -235,9 +267,11 @@ def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(avg(abs(rating - pred)), 6) AS mae
     FROM ratings r JOIN means USING (movieId) GROUP BY 1""",
 )
-def rating_metrics_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rating_metrics_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ratings(spark, sf_dir)
-    means = rows.groupBy("movieId").agg(F.avg("rating").alias("pred"))
-    scored = rows.join(means, "movieId").withColumn("user_group", F.col("userId") % 10)
+    means = rows.groupBy("movieId").agg(F.avg("rating").alias("pred"), F.count("*").alias("n"))
+    scored = lookup_join(rows, means, ["movieId"], rows_per_key="n").withColumn(
+        "user_group", F.col("userId") % 10
+    )
     metrics = regression_metrics(scored, "rating", "pred", by=["user_group"])
     return metrics.select("user_group", "rows", *[F.round(m, 6).alias(m) for m in ("rmse", "mse", "mae")])
