@@ -124,7 +124,7 @@ def user_genre_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "liked_ratings",
     f"""WITH {RATINGS_SQL}
-    SELECT userId AS "user", movieId AS movie, rating * 20 AS percent, count(*) AS copies
+    SELECT userId AS "user", movieId AS movie, CAST(rating * 20 AS DOUBLE) AS percent, count(*) AS copies
     FROM ratings WHERE l_linenumber <= 3 AND l_suppkey <> 7 AND rating >= 4
     GROUP BY userId, movieId, rating""",
 )
