@@ -16,9 +16,14 @@ SLICES = 64
 def count_by_suffix(df: DataFrame, col: str, suffixes: Mapping[str, str]) -> DataFrame:
     """Rows whose ``col`` ends with each suffix, in one pass: label, count."""
     counts = df.agg(*[
-        F.count_if(F.col(col).endswith(suffix)).alias(label) for label, suffix in suffixes.items()
+        F.count_if(F.col(col).endswith(suffix)).alias(f"_{i}")
+        for i, suffix in enumerate(suffixes.values())
     ])
-    return counts.unpivot([], list(suffixes), "label", "count")
+    rows = [
+        F.struct(F.lit(label).alias("label"), F.col(f"_{i}").alias("count"))
+        for i, label in enumerate(suffixes)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def top_k(

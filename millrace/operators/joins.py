@@ -53,11 +53,13 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join of ``rows`` with a table that has one row per key (NULL equals NULL).
 
-    The rows of a heavy key would all meet in one task of a shuffle join, so they are
-    joined by broadcasting the lookup rows of the heavy keys, of which there are at most
-    ``slots``. All other keys go through an ordinary join. ``rows_per_key`` names the
-    column of ``lookup`` that holds the number of rows of each key, if there is one; it
-    is left out of the result. Else the keys are counted.
+    A lookup of at most ``slots`` rows is broadcast. With a larger one the rows of a heavy
+    key would all meet in one task of a shuffle join, so they are joined by broadcasting
+    the lookup rows of the heavy keys, of which there are at most ``slots``. All other keys
+    go through an ordinary join. ``rows_per_key`` names the column of ``lookup`` that holds
+    the number of rows of each key, if there is one; it is left out of the result. Else the
+    keys are counted. A lookup that has several rows per key gives the right rows too, but
+    if the heavy keys have more than ``slots`` of them, it is joined in the ordinary way.
     """
     keys = list(keys)
     added = [c for c in lookup.columns if c not in [*keys, rows_per_key]]
@@ -67,6 +69,8 @@ def lookup_join(
         return pairs.select("l.*", *[F.col(f"r.{c}") for c in added])
 
     if rows_per_key is None:
+        if lookup.limit(slots + 1).count() <= slots:
+            return joined(rows, F.broadcast(lookup))
         heavy = heavy_groups(rows.groupBy(*keys).count(), "count", slots, easy_rows)
     else:
         heavy = heavy_groups(lookup.select(*keys, rows_per_key), rows_per_key, slots, easy_rows)
@@ -74,4 +78,6 @@ def lookup_join(
         return joined(rows, lookup)
     hot_rows, cold_rows = split_heavy(rows, heavy, keys)
     hot_lookup, _ = split_heavy(lookup, heavy, keys)
+    if hot_lookup.limit(slots + 1).count() > slots:
+        return joined(rows, lookup)
     return joined(hot_rows, F.broadcast(hot_lookup)).unionByName(joined(cold_rows, lookup))

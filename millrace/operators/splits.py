@@ -122,32 +122,33 @@ def time_thresholds(
     """For each fraction p the largest value (as a number) with ``percent_rank <= p``.
 
     NULL ranks lowest; the result is None where only NULLs pass. ``df`` is scanned twice
-    for all fractions together and never sorted. The first scan sketches the quantiles.
-    The second counts the values close to a wanted quantile one by one and all others
+    for all fractions together (once more if it has NULLs) and never sorted. The first
+    scan sketches the quantiles. The second counts the values close to a wanted quantile one by one and all others
     together, and the exact position is looked up in those counts.
     """
     for p in fractions:
         if not 0 <= p <= 1:
             raise ValueError(f"fraction {p} is not between 0 and 1")
     numbers = df.select(_as_number(df, col).alias("t"))
-    probes = [min(1.0, max(0.0, p + side * 3 / ACCURACY)) for p in fractions for side in (-1, 1)]
-    rows, filled, low, high, sketch = numbers.agg(
-        F.count(F.lit(1)),
-        F.count("t"),
-        F.min("t"),
-        F.max("t"),
-        F.percentile_approx("t", probes, ACCURACY),
+
+    def sketch(shares: Sequence[float]) -> Column:
+        """Quantiles a little below and above each share of the rows that have a time."""
+        probes = [min(1.0, max(0.0, s + side * 3 / ACCURACY)) for s in shares for side in (-1, 1)]
+        return F.percentile_approx("t", probes, ACCURACY)
+
+    rows, filled, low, high, quantiles = numbers.agg(
+        F.count(F.lit(1)), F.count("t"), F.min("t"), F.max("t"), sketch(fractions)
     ).first()
-    nulls = rows - filled
-    positions = {p: _last_position(p, rows) - nulls for p in fractions}
+    positions = {p: _last_position(p, rows) - (rows - filled) for p in fractions}
     wanted = {at for at in positions.values() if at >= 0 and filled}
     if not wanted:
         return dict.fromkeys(fractions)
-    # The probes are placed by the share of all rows, NULLs included, so with NULLs (or if
-    # the sketch should miss) the search falls back to the whole range.
-    near = [] if nulls else sorted(zip(sketch[::2], sketch[1::2]))
-    values = _near_positions(numbers, low, high, near, wanted) if near else None
-    if values is None:
+    if filled < rows:  # the shares were meant of all rows, so sketch again without the NULLs
+        shares = [at / max(1, filled - 1) for at in sorted(wanted)]
+        quantiles = numbers.agg(sketch(shares)).first()[0]
+    near = sorted(zip(quantiles[::2], quantiles[1::2]))
+    values = _near_positions(numbers, low, high, near, wanted)
+    if values is None:  # the sketch missed: count every value
         values = _near_positions(numbers, low, high, [(low, high)], wanted)
     return {p: values[at] if at in values else None for p, at in positions.items()}
 

@@ -245,6 +245,25 @@ def tandem_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("tandem_metrics")
+@query(
+    "tandem_metrics",
+    f"""WITH {CLAIMS_SQL}
+    SELECT count(*) AS amount_rows, count(*) AS class_rows, TRUE AS called_within,
+           TRUE AS class_mse_is_mae, TRUE AS mse_is_rmse_squared
+    FROM claims WHERE {bucket_sql(42, "Row_ID")} >= 0.7""",
+)
 def tandem_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tandem_metrics(_tandem_scored(spark, sf_dir), "claimed", "Claim_Amount")
+    """How the metrics of the parts of a scored test set must hang together."""
+    metrics = tandem_metrics(_tandem_scored(spark, sf_dir), "claimed", "Claim_Amount")
+
+    def of(part: str, value: str):
+        return F.max(F.when(F.col("part") == part, F.col(value)))
+
+    square = F.col("rmse") * F.col("rmse")
+    return metrics.agg(
+        of("amount", "rows").alias("amount_rows"),
+        of("class", "rows").alias("class_rows"),
+        (of("amount of predicted positives", "rows") < of("amount", "rows")).alias("called_within"),
+        (F.abs(of("class", "mse") - of("class", "mae")) < 1e-9).alias("class_mse_is_mae"),
+        F.every(F.abs(F.col("mse") - square) <= 1e-9 * square).alias("mse_is_rmse_squared"),
+    )

@@ -143,10 +143,22 @@ def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("model_params")
+@query(
+    "model_params",
+    """SELECT param, value FROM (VALUES ('featuresCol', '"features"'), ('labelCol', '"labels"'),
+      ('lossType', '"logistic"'), ('maxBins', '20'), ('maxDepth', '3'), ('maxIter', '2'),
+      ('seed', '42'), ('stepSize', '0.1'), ('subsamplingRate', '1.0')) AS p(param, value)""",
+)
 def model_params_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settings of a fitted model; those that depend on the Spark version are left out."""
     train, _ = assembled_split(spark, sf_dir)
-    return model_params(fit(gbt(HIGGS_LABEL, max_depth=3, max_iter=2), train))
+    params = model_params(fit(gbt(HIGGS_LABEL, max_depth=3, max_iter=2), train))
+    return params.where(
+        F.col("param").isin(
+            "featuresCol", "labelCol", "lossType", "maxBins", "maxDepth", "maxIter", "seed",
+            "stepSize", "subsamplingRate",
+        )
+    )
 
 
 @query(
