@@ -29,10 +29,16 @@ from millrace.operators import (
 from millrace.operators.recommend import TRAIN_FRACTIONS
 from millrace.plans.inputs import RATING_KEY, RATINGS_SQL, bucket_sql, movies, ratings
 from millrace.plans.registry import query
+from millrace.sources import materialise
 
 _KEYS = ", ".join(RATING_KEY)
 
 
+def landed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The ratings written once, as they are read for the thresholds and for each side."""
+    return materialise(ratings(spark, sf_dir).select(*columns))
+
+
 @query(
     "percent_rank_by_customer",
     f"""WITH {RATINGS_SQL}
@@ -65,7 +71,7 @@ def percent_rank_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY p, side""",
 )
 def time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ratings(spark, sf_dir)
+    rows = landed(spark, sf_dir, "userId", "ts")
     parts = [
         side.groupBy(F.lit(p).alias("split"), F.lit(name).alias("side")).agg(
             F.count(F.lit(1)).alias("rows"),
@@ -198,7 +204,7 @@ def largest_segments_query(spark: SparkSession, sf_dir: str) -> DataFrame:
       AND movieId IN (SELECT movieId FROM train)""",
 )
 def als_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = time_split(ratings(spark, sf_dir), "ts", 0.8)
+    train, test = time_split(landed(spark, sf_dir, "userId", "movieId", "rating", "ts"), "ts", 0.8)
     scored = fit_als(train, seed=42).transform(test)
     finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
     return scored.agg(F.count(F.lit(1)).alias("rows"), F.every(finite).alias("finite"))
@@ -233,7 +239,7 @@ def als_experiment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factors and clusters of each side of the split, checked against the fitted centres."""
     parts = []
-    sides = time_split(ratings(spark, sf_dir), "ts", 0.8)
+    sides = time_split(landed(spark, sf_dir, "userId", "movieId", "rating", "ts"), "ts", 0.8)
     for name, side in zip(("train", "test"), sides):
         factors = user_factors(fit_als(side, seed=42))
         model = fit_segments(factors, k=20, seed=42)

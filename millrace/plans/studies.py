@@ -107,10 +107,12 @@ def rating_study(
     Segments come from the factors of the first setting, fitted on each side of a split
     by itself, and are matched with the ratings of that side.
     """
-    models, metrics = fit_cells(ratings, fractions, settings, ts, seed)
+    # Landed once: every split, fit and lookup below reads this table.
+    splits = time_splits(materialise(ratings), ts, fractions)
+    models, metrics = fit_cells(splits, settings, seed)
     first = next(iter(settings))
     largest, genres = [], []
-    for split, (train, test) in time_splits(ratings, ts, fractions).items():
+    for split, (train, test) in splits.items():
         sides = {
             "train": (train, models[split, first]),
             "test": (test, fit_als(test, seed=seed, **settings[first])),
