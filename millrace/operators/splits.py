@@ -123,8 +123,8 @@ def time_thresholds(
 
     NULL ranks lowest; the result is None where only NULLs pass. ``df`` is scanned twice
     for all fractions together (once more if it has NULLs) and never sorted. The first
-    scan sketches the quantiles. The second counts the values close to a wanted quantile one by one and all others
-    together, and the exact position is looked up in those counts.
+    scan sketches the quantiles. The second counts the values close to a wanted quantile
+    one by one and all others together, and the exact position is looked up in those counts.
     """
     for p in fractions:
         if not 0 <= p <= 1:

@@ -59,7 +59,6 @@ from millrace.sources import materialise
 from millrace.sources.schemas import (
     CLAIM_AMOUNT,
     CLAIM_CATEGORICAL,
-    CLAIM_DOUBLES,
     CLAIM_IDS,
     CLAIM_NUMERIC,
     CLAIM_UNUSED,
@@ -177,7 +176,7 @@ def collision_study(
 
 def clean_claims(claims: DataFrame) -> DataFrame:
     """Drop the unused columns, cast the numeric ones, keep ``Row_ID`` as the record's key."""
-    numeric = {c: "double" for c in [*CLAIM_DOUBLES, *CLAIM_NUMERIC, CLAIM_AMOUNT] if c in claims.columns}
+    numeric = {c: "double" for c in [*CLAIM_NUMERIC, CLAIM_AMOUNT] if c in claims.columns}
     unused = [*(c for c in CLAIM_IDS if c != "Row_ID"), *CLAIM_UNUSED]
     return cast_columns(claims.drop(*unused), numeric)
 
@@ -187,6 +186,7 @@ def claim_study(
     keep_unclaimed: float = 0.14,
     max_depth: int = 10,
     max_iter: int = 50,
+    count_missing: bool = False,
     seed: int = 42,
 ) -> Tables:
     """Linear regression against a classifier and Gamma regressor in tandem.
@@ -200,7 +200,7 @@ def claim_study(
     train, test = hash_split(rows, "Row_ID", [0.7, 0.3], seed)
     # Another seed: with the split's own the sample would not be independent of it.
     train = hash_sample_by(train, "Row_ID", "claimed", {0: keep_unclaimed, 1: 1.0}, seed + 1)
-    modes = fit_modes(train, [*categorical, *numeric])
+    modes = fit_modes(train, [*categorical, *numeric], count_missing)
     train, test = fill_modes(train, modes), fill_modes(test, modes)
     features = feature_pipeline(categorical, numeric).fit(train)
     columns = ["features", "claimed", CLAIM_AMOUNT]

@@ -1,7 +1,5 @@
 import gzip
 
-import pytest
-
 from millrace.sources import (
     ensure_checkpoint_dir,
     materialise,

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from millrace.__main__ import main
 from millrace.plans import studies
 from millrace.plans.inputs import access_log, claims, higgs_lines, movies, ratings
+from millrace.sources import read_csv
+from millrace.sources.schemas import CLAIM_AMOUNT, CLAIM_CATEGORICAL, CLAIM_NUMERIC, CLAIM_UNUSED
 from tests.helpers import rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,6 +56,18 @@ def test_collision_program(spark):
     assert dict(rows(iterations)) == {"gbt": "2", "mlp": "3"}
 
 
+def test_claims_are_cleaned(spark, tmp_path):
+    """All columns of the dataset, read as text with the sentinel in a numeric one."""
+    columns = ["Row_ID", "Household_ID", *CLAIM_UNUSED, *CLAIM_CATEGORICAL, *CLAIM_NUMERIC, CLAIM_AMOUNT]
+    line = ",".join("?" if c in ("Vehicle", "Cat1", "Blind_Make") else "7" for c in columns)
+    (tmp_path / "claims.csv").write_text(",".join(columns) + "\n" + line + "\n")
+    cleaned = studies.clean_claims(read_csv(spark, str(tmp_path / "claims.csv")))
+    assert set(cleaned.columns) == {"Row_ID", *CLAIM_CATEGORICAL, *CLAIM_NUMERIC, CLAIM_AMOUNT}
+    kinds = dict(cleaned.dtypes)
+    assert {kinds[c] for c in [*CLAIM_NUMERIC, CLAIM_AMOUNT]} == {"double"}
+    assert rows(cleaned, "Vehicle", "Var1", "Blind_Make") == [(None, 7.0, "?")]
+
+
 def test_claim_program(spark):
     tables = studies.claim_study(claims(spark, SF_DIR), keep_unclaimed=0.5, max_depth=3, max_iter=3)
     parts = {(r["model"], r["part"]): r for r in tables["metrics"].collect()}
