@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm.common import load
+from millrace.llm.common import held_out, load
 from millrace.llm.near_dups import near_duplicates
+from millrace.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,3 +32,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op9_near_dups")
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, load(spark, sf_dir, "labels"))
+    judged = score_toxicity(docs.select("doc_id", "text"), model)
+    return judged.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
