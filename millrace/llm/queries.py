@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import held_out, load
+from millrace.llm.decontaminate import find_contamination
 from millrace.llm.near_dups import near_duplicates
 from millrace.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -44,3 +45,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"),
     )
+
+
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
