@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
+from millrace.llm.mixing import add_mix_columns, sample_mix
 from millrace.llm.near_dups import near_duplicates
 from millrace.llm.toxicity import fit_toxicity, score_toxicity
+from millrace.sources import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,3 +52,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_decontamination")
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query("op2_source_mix")
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = add_mix_columns(load(spark, sf_dir, "documents")).drop("text", "n_chars")
+    mixed = sample_mix(materialise(measured))
+    return mixed.select(
+        "doc_id", "source", "lang", F.col("mix_topic").alias("topic"),
+        F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"),
+        F.col("mix_repeat").alias("repeat_weight"), F.col("mix_kept").alias("kept"),
+    )
