@@ -4,17 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.common import load
+from millrace.llm.decontaminate import drop_contaminated
+from millrace.llm.mixing import add_mix_columns, sample_mix
 from millrace.llm.near_dups import drop_near_duplicates
+from millrace.llm.sharding import shard_documents
+from millrace.llm.toxicity import drop_toxic, fit_toxicity
 from millrace.sources import materialise, read_parquet
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model trained on ``labels`` rejects go."""
+    return drop_toxic(docs, fit_toxicity(docs, load(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return drop_near_duplicates(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a test item go."""
+    return drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample by calibrated probabilities stays."""
+    mixed = sample_mix(add_mix_columns(docs))
+    return mixed.where("mix_kept").select(*docs.columns)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A place in one of 24 shards for every document that is left."""
+    return shard_documents(docs, 24, keep=["source", "lang"])
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
 ]
 
 #: Near-duplicates and a trained score have no SQL; the tests compare with brute force.

@@ -11,6 +11,7 @@ from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
 from millrace.llm.mixing import add_mix_columns, sample_mix
 from millrace.llm.near_dups import near_duplicates
+from millrace.llm.sharding import shard_documents
 from millrace.llm.toxicity import fit_toxicity, score_toxicity
 from millrace.sources import materialise
 
@@ -63,3 +64,12 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"),
         F.col("mix_repeat").alias("repeat_weight"), F.col("mix_kept").alias("kept"),
     )
+
+
+@query("op5_byte_shards")
+def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(load(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
