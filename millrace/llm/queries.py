@@ -15,6 +15,7 @@ from millrace.llm.near_dups import near_duplicates
 from millrace.llm.secret_scan import find_secrets, span_text
 from millrace.llm.sharding import shard_documents
 from millrace.llm.toxicity import fit_toxicity, score_toxicity
+from millrace.llm.warc import capture_index, write_archives
 from millrace.sources import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +135,36 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"), "valid",
     )
+
+
+_BITS = "('0x' || substr(sha1(html), 5 * g + 1, 5))::BIGINT"
+_WARC_SQL = rf"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+                  lower(coalesce(url, '')) AS low FROM pages),
+d AS (SELECT page_id, url, low, strlen(html)::BIGINT AS payload_bytes,
+             array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+                 lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((({_BITS}) >> s) % 32 + 1)::BIGINT, 1)), '')), '')
+             AS payload_digest,
+             regexp_extract(low, '^[a-z][a-z0-9+.-]*://([^/?#@]*@)?(www\.)?([^/?#:]+)(:[0-9]*)?([^#]*)', 3) AS host,
+             regexp_extract(low, '^[a-z][a-z0-9+.-]*://([^/?#@]*@)?(www\.)?([^/?#:]+)(:[0-9]*)?([^#]*)', 5) AS rest
+      FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first,
+             CASE WHEN host = '' THEN low
+                  ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || rest END AS url_key
+      FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, url_key,
+       row_number() OVER (ORDER BY url_key, page_id) - 1 AS position
+FROM f"""
+
+
+@query("op8_warc_index", _WARC_SQL)
+def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = scratch_path(spark, "warc")
+    write_archives(load(spark, sf_dir, "pages"), archives)
+    index = capture_index(spark, archives)
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        F.col("key").alias("url_key"), "position",
+    )
