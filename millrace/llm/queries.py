@@ -12,6 +12,7 @@ from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
 from millrace.llm.mixing import add_mix_columns, sample_mix
 from millrace.llm.near_dups import near_duplicates
+from millrace.llm.quality import judge_quality
 from millrace.llm.secret_scan import find_secrets, span_text
 from millrace.llm.sharding import shard_documents
 from millrace.llm.toxicity import fit_toxicity, score_toxicity
@@ -168,3 +169,36 @@ def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
         F.col("key").alias("url_key"), "position",
     )
+
+
+_QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, unnest(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS word,
+             generate_subscripts(regexp_extract_all(t, '[^\x20\x09-\x0D]+'), 1) AS i FROM d),
+g AS (SELECT r, i, struct_pack(a := word, b := lead(word) OVER o, c := lead(word, 2) OVER o) AS three,
+             lead(word, 2) OVER o IS NOT NULL AS whole
+      FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS n FROM g WHERE whole) WHERE n > 1),
+covered AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, i + k AS i FROM again, range(3) x(k)) GROUP BY r),
+words AS (SELECT r, count(*) AS n, sum(length(word))::BIGINT AS chars FROM w GROUP BY r),
+m AS (SELECT doc_id, t, coalesce(words.n, 0) AS n_words, coalesce(words.chars, 0) AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+             list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+             coalesce(covered.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN words USING (r) LEFT JOIN covered USING (r)),
+n AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 4 * len(lines)
+            OR 2 * len(regexp_extract_all(t, '[A-ZÀ-ÖØ-Þ]')) > word_chars
+            OR 5 * len(regexp_extract_all(t, '!')) > n_words) AS kept
+FROM n"""
+
+
+@query("op4_quality_cascade", _QUALITY_SQL)
+def op4_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(load(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    few, repeats = F.col("n_words") < 50, 100 * F.col("n_repeat_words") > 50 * F.col("n_words")
+    told = judged.select("doc_id", *[f"quality.{c}" for c in counts], "quality.kept")
+    return told.select("doc_id", *counts, (few | repeats).alias("base_failed"), "kept")
