@@ -12,6 +12,7 @@ from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
 from millrace.llm.mixing import add_mix_columns, sample_mix
 from millrace.llm.near_dups import near_duplicates
+from millrace.llm.pii import KINDS, find_pii, fit_skip_chain
 from millrace.llm.quality import judge_quality
 from millrace.llm.secret_scan import find_secrets, span_text
 from millrace.llm.sharding import shard_documents
@@ -202,3 +203,32 @@ def op4_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     few, repeats = F.col("n_words") < 50, 100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     told = judged.select("doc_id", *[f"quality.{c}" for c in counts], "quality.kept")
     return told.select("doc_id", *counts, (few | repeats).alias("base_failed"), "kept")
+
+
+@query("op7_pii_field")
+def op7_pii_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_pii(docs, fit_skip_chain(docs)).drop("text")
+
+    def told(spans: Column) -> Column:
+        one = F.transform(
+            spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        )
+        return F.array_join(one, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    order = F.array(*[F.lit(k) for k in KINDS])
+    ranked = F.array_sort(
+        F.transform(
+            F.concat("base_spans", "added_spans"),
+            lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"].alias("start"), s.alias("span")),
+        )
+    )
+    spans = F.transform(ranked, lambda r: r["span"])
+    return found.select(
+        "doc_id", *[count(k) for k in KINDS],
+        F.sha2(told(F.col("base_spans")), 256).alias("base_sha256"), told(spans).alias("spans"),
+        F.size("added_spans").alias("n_added"),
+    )
