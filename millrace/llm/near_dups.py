@@ -10,7 +10,8 @@ with a chance of about 1e-7; other thresholds need other sizes.
 
 Every link is confirmed on the full shingle sets. Within a bucket not all pairs are formed:
 
-1. Each member is checked against the bucket's smallest member. The links found give components.
+1. Each member is checked against the bucket's hub, the member whose own buckets are largest: in a
+   group of copies that is the text they were made from. The links found give components.
 2. Only pairs of one bucket that lie in different components are still open. They are looked
    for in blocks of bounded size, and those within the signature distance are confirmed too.
 
@@ -39,6 +40,8 @@ LANES = 4
 MAX_DISTANCE = 2 * CHUNKS - 1
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1000
+#: Shingles of these members, about.
+BLOCK_SHINGLES = 1_000_000
 #: Members that one task confirms against one and the same document.
 PER_TASK = 200
 #: Words whose hashes a Python worker remembers.
@@ -236,53 +239,163 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def _open_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket, in different components and within the signature distance."""
+_GROUP = ["slot", "key", "i", "j"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The sorted rows of a partition as tables that never cut a group of :data:`_GROUP`."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not len(table):
+            continue
+        last = np.ones(len(table), bool)
+        for c in _GROUP:
+            values = table.column(c).to_numpy()
+            last &= values == values[-1]
+        start = int(last.argmax())
+        if start:
+            yield table.slice(0, start)
+        rest = table.slice(start)
+    if rest is not None and len(rest):
+        yield rest
+
+
+class _Block:
+    """Rows of some groups (two blocks of one bucket each) and their pairs that may be links."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        get = {c: table.column(c).to_numpy() for c in table.column_names if c != "text"}
+        self.ids, self.root, self.size = get["set_id"], get["root"], get["n_shingles"]
+        new = np.zeros(len(table), bool)
+        for c in _GROUP:
+            new[1:] |= get[c][1:] != get[c][:-1]
+        self.group = np.cumsum(new)
+        self.left = np.flatnonzero(get["block"] == get["i"])
+        self.right = np.flatnonzero(get["block"] == get["j"])
+        self.same = get["i"] == get["j"]
+        self.chunk, self.lane = np.divmod(get["slot"], LANES)
+        self.parts = [get[p].view(np.uint64) for p in _PARTS]
+        self.percent = percent
+
+    def pairs(self, step: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(xs, ys, distances): different components, sizes and distances that allow a link.
+
+        Only pairs whose first common bucket this is, so that no pair is looked at twice: no
+        chunk before the bucket's has at most one differing value, and if its chunk agrees in
+        full, so that all the chunk's buckets are common, it is the first of these.
+        """
+        low, high = _U(0x7FFF7FFF7FFF7FFF), _U(0x8000800080008000)
+        of_right = self.group[self.right]
+        for at in range(0, len(self.left), step):
+            x = self.left[at : at + step]
+            first, last = np.searchsorted(of_right, self.group[x[[0, -1]]] + [0, 1])
+            x, y = x[:, None], self.right[first:last]
+            a, b = self.size[x], self.size[y]
+            fits = (self.group[x] == self.group[y]) & (self.root[x] != self.root[y])
+            fits &= np.minimum(a, b) * 100 >= np.maximum(a, b) * self.percent
+            fits &= (x < y) | ~self.same[x]
+            if not fits.any():
+                continue
+            own, lane = self.chunk[x], self.lane[x]
+            distance = np.zeros(fits.shape, np.uint8)
+            for chunk, part in enumerate(self.parts):
+                bits = part[x] ^ part[y]
+                wrong = np.bitwise_count((((bits & low) + low) | bits) & high)
+                distance += wrong
+                fits &= (wrong > 1) | (own <= chunk)
+                fits &= (own != chunk) | (wrong == 1) | (lane == 0)
+            i, j = np.nonzero(fits & (distance <= MAX_DISTANCE))
+            if len(i):
+                yield x[i, 0], y[j], distance[i, j]
+
+
+def _open_links(
+    members: DataFrame, roots: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
+) -> DataFrame:
+    """Links (a, b) between different components within buckets, enough to join what belongs together.
+
+    A bucket is cut into blocks of at most about :data:`BLOCK` members and :data:`BLOCK_SHINGLES`
+    shingles, and each pair of blocks is one group. First the members that have an open pair are told
+    from narrow rows, then only they get their texts. Nearest pairs are confirmed first; what a
+    link has joined is not compared again.
+    """
+    named = roots.withColumnRenamed("node", "set_id")
     rooted = (
-        members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+        members.join(sets.select("set_id", "n_shingles", *_PARTS), "set_id")
+        .join(named, "set_id", "left")
         .withColumn("root", F.coalesce("root", "set_id"))
     )
     mixed = (
         rooted.groupBy("slot", "key")
-        .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
+        .agg(
+            F.min("root").alias("least"), F.max("root").alias("most"),
+            F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"),
+        )
         .where("least <> most")
-        .select("slot", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("slot", "key", F.ceil("blocks").cast("int").alias("blocks"))
     )
+    carried = [*_GROUP, "block", "set_id", "root", "n_shingles", *_PARTS]
     # Block pairs (i, j), i <= j: a row of block k goes to the pairs (k, j) and (i, k).
     block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.col("blocks")).cast("int")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
     rows = (
         lookup_join(rooted, materialise(mixed), ["slot", "key"])
         .withColumn("block", block)
-        .withColumn("other", F.explode(others))
-        .join(sets.select("set_id", "n_shingles", *_PARTS), "set_id")
-        .select(
-            "slot", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-            "block", "set_id", "root", "n_shingles", *_PARTS,
-        )
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .select(*carried)
     )
 
-    def compare(table: pa.Table) -> pa.Table:
-        get = {c: table.column(c).to_numpy() for c in table.column_names}
-        left = np.flatnonzero(get["block"] == get["i"])
-        right = np.flatnonzero(get["block"] == get["j"])
-        values = np.stack([get[p] for p in _PARTS], axis=1).view("<u2")
-        out_a, out_b = [], []
-        for x in left:
-            a, b = get["n_shingles"][x], get["n_shingles"][right]
-            y = right[
-                (get["root"][right] != get["root"][x])
-                & (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent)
-            ]
-            y = y[(values[y] != values[x]).sum(axis=1) <= MAX_DISTANCE]
-            out_a.append(np.minimum(get["set_id"][x], get["set_id"][y]))
-            out_b.append(np.maximum(get["set_id"][x], get["set_id"][y]))
-        a, b = (np.concatenate([np.empty(0, np.int64), *o]) for o in (out_a, out_b))
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    found = rows.groupBy("slot", "key", "i", "j").applyInArrow(compare, "a long, b long")
-    return found.distinct()
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            seen = np.zeros(len(table), bool)
+            for xs, ys, _ in _Block(table, percent).pairs():
+                seen[xs] = seen[ys] = True
+            yield from table.filter(pa.array(seen)).to_batches()
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _WordHashes()
+        for table in _whole_groups(batches):
+            yield from confirmed(table, words).to_batches()
+
+    def confirmed(table: pa.Table, words: _WordHashes) -> pa.Table:
+        ids = table.column("set_id").to_pylist()
+        shingles = [shingle_set(t.as_py(), words) for t in table.column("text")]
+        right = np.array([_set_id(s) == i for s, i in zip(shingles, ids)], bool)
+        table, shingles = table.filter(pa.array(right)), [s for s, r in zip(shingles, right) if r]
+        block = _Block(table, percent)
+        joined = {r: r for r in block.root.tolist()}
+
+        def find(x: int) -> int:
+            while joined[x] != x:
+                joined[x] = x = joined[joined[x]]
+            return x
+
+        found = [np.stack([d, x, y]) for x, y, d in block.pairs()]
+        found = np.concatenate([np.empty((3, 0), np.int64), *found], axis=1)
+        out: tuple[list, list] = ([], [])
+        for _, x, y in found[:, np.lexsort(found[::-1])].T.tolist():
+            p, q = find(int(block.root[x])), find(int(block.root[y]))
+            if p == q:
+                continue
+            common = len(np.intersect1d(shingles[x], shingles[y], assume_unique=True))
+            if 100 * common >= percent * (len(shingles[x]) + len(shingles[y]) - common):
+                joined[max(p, q)] = min(p, q)
+                out[0].append(int(block.ids[x]))
+                out[1].append(int(block.ids[y]))
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    kinds = {"slot": "int", "i": "int", "j": "int", "block": "int"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'long')}" for c in carried)
+
+    def grouped(df: DataFrame) -> DataFrame:
+        return df.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+
+    wanted = materialise(grouped(rows).mapInArrow(involved, schema))
+    full = wide_join(texts, wanted, ["set_id"], "inner").withColumn("text", F.col("text").cast("binary"))
+    return grouped(full.select(*carried, "text")).mapInArrow(links, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -305,17 +418,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             *[F.min(p).alias(p) for p in _PARTS],
         )
     )
-    # 1. Buckets with two members or more, each member with the smallest one.
+    # 1. Buckets with two members or more, each member with the bucket's hub.
     keyed = sets.select("set_id", F.posexplode(_bucket_keys()).alias("slot", "key"))
-    heads = materialise(
-        keyed.groupBy("slot", "key")
-        .agg(F.min("set_id").alias("head"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
-    )
-    members = materialise(keyed.join(heads, ["slot", "key"]))
-    stars = members.where("set_id <> head").select(
-        F.col("head").alias("a"), F.col("set_id").alias("b")
+    sizes = keyed.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialise(lookup_join(keyed, materialise(sizes), ["slot", "key"]))
+    reach = materialise(members.groupBy("set_id").agg(F.sum("n").alias("reach")))
+    ranked = members.join(reach, "set_id").select("slot", "key", F.struct("reach", "set_id").alias("hub"))
+    hubs = materialise(ranked.groupBy("slot", "key").agg(F.max("hub")["set_id"].alias("hub")))
+    stars = (
+        lookup_join(members, hubs, ["slot", "key"])
+        .where("set_id <> hub")
+        .select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
     )
     candidates = materialise(members.select("set_id").distinct())
     first = rows.join(candidates, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
@@ -323,10 +436,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     links = materialise(_confirmed(materialise(_near(stars.distinct(), sets, percent)), texts, percent))
     roots = materialise(components(links))
     # 2. What is still open within buckets.
-    still = materialise(_open_pairs(members.drop("head"), roots, sets, percent))
-    if not still.isEmpty():
-        links = links.unionByName(_confirmed(still, texts, percent))
-        roots = materialise(components(links))
+    more = materialise(_open_links(members.drop("n"), roots, sets, texts, percent))
+    if not more.isEmpty():
+        roots = materialise(components(links.unionByName(more)))
     rooted = materialise(
         sets.select("set_id", "least_id")
         .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
