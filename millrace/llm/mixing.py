@@ -12,7 +12,7 @@ is its ``mix_repeat``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,7 +64,7 @@ def add_mix_columns(docs: DataFrame, topic: Column | None = None, seed: int = 11
     for name in DIMENSIONS:
         rows = rows.withColumn(f"mix_{name}", F.coalesce(f"mix_{name}", F.lit(NO_LEVEL)))
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(text))
-    return rows.withColumn("_key", key).withColumn("mix_draw", hash_bucket("_key", seed)).drop("_key")
+    return rows.withColumn("mix_draw", key).withColumn("mix_draw", hash_bucket("mix_draw", seed))
 
 
 def _target_shares(cells: DataFrame, dimension: str, targets: Targets, temperature: float) -> DataFrame:
@@ -179,8 +179,10 @@ def sample_mix(
     """Add mix_probability, mix_repeat and mix_kept to rows of :func:`add_mix_columns`.
 
     A row is kept if its draw is below its cell's probability, so the choice survives lost
-    tasks and other partitionings. Null levels count as ``(none)``; an empty table stays empty.
+    tasks and other partitionings. Null levels count as ``(none)``; an empty table stays empty;
+    rows with one id share their fate. Columns of the names added are replaced.
     """
     names = [f"mix_{d}" for d in DIMENSIONS]
+    rows = rows.drop("mix_probability", "mix_repeat", "mix_kept")
     rated = lookup_join(rows, mixing_rates(rows, targets, temperature, budget), names)
     return rated.withColumn("mix_kept", F.col("mix_draw") < F.col("mix_probability"))

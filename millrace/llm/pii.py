@@ -318,7 +318,7 @@ def pii_column(spark, model: SkipChain, text: str = "text") -> Column:
 
 
 def find_pii(docs: DataFrame, model: SkipChain) -> DataFrame:
-    """Add base_spans and added_spans (arrays of kind, start, end; code points, end exclusive).
+    """Add (or replace) base_spans and added_spans (arrays of kind, start, end; code points, end exclusive).
 
     Spans are in the order of :data:`KINDS`, then of start. A null text is empty and has none. An added span never
     overlaps a base span. Equal texts get equal spans.

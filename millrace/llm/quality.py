@@ -199,7 +199,7 @@ def cascade_column(ordered: Sequence[Rule], text: str = "text", counts: bool = F
 
 
 def judge_quality(docs: DataFrame, rules: Sequence[Rule] = RULES, counts: bool = False) -> DataFrame:
-    """Add ``quality``, the struct of :func:`cascade_column`, to every row; nothing is dropped.
+    """Add (or replace) ``quality``, the struct of :func:`cascade_column`; no row is dropped.
 
     Null and empty texts have no words, which the first of :data:`RULES` rejects. Rows that repeat get
     equal verdicts; ``rejected_by`` may differ between runs as the order follows measured times.
