@@ -8,11 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import SLOTS, same_keys
+from millrace.operators.joins import same_keys
 from millrace.sources import read_parquet
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a narrow table that is broadcast to long texts rather than shuffled with them.
+FEW = 1_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,16 +26,16 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def wide_join(
-    rows: DataFrame, slim: DataFrame, keys: Sequence[str], how: str, slots: int = SLOTS
+    rows: DataFrame, slim: DataFrame, keys: Sequence[str], how: str, few: int = FEW
 ) -> DataFrame:
     """Join rows that carry long texts with a narrow, already written table (NULL equals NULL).
 
-    The narrow side is broadcast if it has at most ``slots`` rows. Else both sides are
+    The narrow side is broadcast if it has at most ``few`` rows. Else both sides are
     shuffled and the narrow one is hashed, so that the texts are never sorted. Returns the
     columns of ``rows`` and, unless ``how`` is a semi or anti join, the further ones of ``slim``.
     """
-    few = slim.limit(slots + 1).count() <= slots
-    right = F.broadcast(slim) if few else slim.hint("shuffle_hash")
+    small = slim.limit(few + 1).count() <= few
+    right = F.broadcast(slim) if small else slim.hint("shuffle_hash")
     joined = rows.alias("l").join(right.alias("r"), same_keys(keys), how)
     if how in ("left_semi", "left_anti"):
         return joined
