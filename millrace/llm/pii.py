@@ -7,8 +7,9 @@ tokens, skip edges join consecutive tokens, however distant, that share a key: t
 letters, the same digits, the same last seven digits, or the same name part. Loopy message passing
 makes the labels of a document agree. All graphs of a batch are solved together.
 
-The factors are fitted piecewise from counts over documents with found data, where a part of the
-tokens hides that it was found. Only tokens tied to a found one by skip edges can be added.
+The factors are fitted piecewise from counts of found tokens: a token that no pattern finds is
+not known to be none, so its label is not counted but has a fixed prior. Only tokens tied to a
+found one by skip edges can be added.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ NONE = len(KINDS)
 LABELS = NONE + 1
 #: Documents with found data that a fit uses at most, by hash order.
 FIT_ROWS = 4_000
-#: Part of the found tokens that hide it from a fit.
-HIDDEN = 0.2
+#: Prior of each kind for a token that no pattern finds, and its weight against counts.
+PRIOR, PRIOR_WEIGHT = 0.04, 5.0
 #: Digits that make two numbers similar if they end in them.
 TAIL = 7
 
@@ -242,13 +243,13 @@ def _count(rows: DataFrame) -> DataFrame:
                 text = text.as_py() or ""
                 base = base_spans(text)
                 graph = build_graph(text, base) if base else Graph()
-                for (start, end), shape, label in zip(graph.spans, graph.shapes, graph.labels):
-                    hidden = (start * 31 + end) % 1000 < HIDDEN * 1000
-                    if label == NONE or hidden:
+                for shape, label in zip(graph.shapes, graph.labels):
+                    if label != NONE:
                         counts["shape", shape, str(label)] += 1
                 for name, edges in (("chain", graph.chain), ("skip", graph.skip)):
-                    for a, b in edges:
-                        counts[name, str(graph.labels[a]), str(graph.labels[b])] += 1
+                    for a, b in ((graph.labels[a], graph.labels[b]) for a, b in edges):
+                        if a != NONE and b != NONE:
+                            counts[name, str(a), str(b)] += 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
@@ -270,17 +271,18 @@ def fit_skip_chain(docs: DataFrame, fit_rows: int = FIT_ROWS, most_shapes: int =
     share = min(1.0, fit_rows / max(1, likely.count()))
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
     counts = _count(likely.where(draw)).orderBy(F.desc("n"), "factor", "a", "b").limit(LABELS * most_shapes)
+    prior = np.array([PRIOR] * NONE + [1 - NONE * PRIOR])
     shapes: dict[str, np.ndarray] = {}
     pairs = {n: np.full((LABELS, LABELS), 0.5) + 2.0 * np.eye(LABELS) for n in ("chain", "skip")}
     for r in counts.collect():
         if r["factor"] == "shape":
-            shapes.setdefault(r["a"], np.full(LABELS, 0.2))[int(r["b"])] += r["n"]
+            shapes.setdefault(r["a"], PRIOR_WEIGHT * prior)[int(r["b"])] += r["n"]
         else:
             # An edge has no direction.
             pairs[r["factor"]][int(r["a"]), int(r["b"])] += r["n"] / 2
             pairs[r["factor"]][int(r["b"]), int(r["a"])] += r["n"] / 2
 
-    unknown = np.log(np.array([0.2 / LABELS] * NONE + [1 - NONE * 0.2 / LABELS]))
+    unknown = np.log(prior)
 
     def conditional(n: np.ndarray) -> np.ndarray:
         return np.log(n / n.sum(axis=1, keepdims=True))
