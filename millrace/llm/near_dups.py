@@ -53,7 +53,7 @@ _SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=2 * CHUNKS * LA
 _TIMES, _PLUS = _SEEDS[: CHUNKS * LANES] * _U(2) + _U(1), _SEEDS[CHUNKS * LANES :]
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMORY:
             self.clear()
@@ -67,7 +67,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_set(text: bytes | None, words: _WordHashes) -> np.ndarray:
+def shingle_set(text: bytes | None, words: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the 3-shingles of an UTF-8 text.
 
     ``bytes.lower`` and ``bytes.split`` know ASCII only, which is what is asked for: A-Z are
@@ -84,7 +84,7 @@ def shingle_set(text: bytes | None, words: _WordHashes) -> np.ndarray:
     return np.unique(_mixed(h * _U(0xD6E8FEB86659FD93) + w[2:]))
 
 
-def _signature(shingles: np.ndarray, step: int = 4096) -> np.ndarray:
+def signature(shingles: np.ndarray, step: int = 4096) -> np.ndarray:
     """The chunks of the signature, four 16-bit values in each."""
     low = np.full(CHUNKS * LANES, 2**64 - 1, np.uint64)
     for i in range(0, len(shingles), step):
@@ -101,7 +101,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_id (equal for equal sets, null for empty ones), s0 to s9."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
+        words = WordHashes()
         for batch in batches:
             texts = batch.column(1)
             n = np.zeros(len(texts), np.int64)
@@ -112,7 +112,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 n[i] = len(shingles)
                 if n[i]:
                     ids[i] = _set_id(shingles)
-                    parts[i] = _signature(shingles)
+                    parts[i] = signature(shingles)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(ids, mask=n == 0)]
                 + [pa.array(parts[:, j]) for j in range(CHUNKS)],
@@ -176,7 +176,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, head, of = _WordHashes(), np.empty(0, np.uint64), None
+        words, head, of = WordHashes(), np.empty(0, np.uint64), None
         for batch in batches:
             left, right = [], []
             for a, salt, member, b, text in zip(*[c.to_pylist() for c in batch.columns]):
@@ -356,11 +356,11 @@ def _open_links(
             yield from table.filter(pa.array(seen)).to_batches()
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
+        words = WordHashes()
         for table in _whole_groups(batches):
             yield from confirmed(table, words).to_batches()
 
-    def confirmed(table: pa.Table, words: _WordHashes) -> pa.Table:
+    def confirmed(table: pa.Table, words: WordHashes) -> pa.Table:
         ids = table.column("set_id").to_pylist()
         shingles = [shingle_set(t.as_py(), words) for t in table.column("text")]
         right = np.array([_set_id(s) == i for s, i in zip(shingles, ids)], bool)

@@ -9,9 +9,11 @@ log-odds less one standard deviation. Any other token has a small negative score
 Scoring finds all maximal scoring segments of the token scores in linear time. Under clean text
 the best segment of n tokens follows a Gumbel law with the rate that solves
 ``E[exp(rate * score)] = 1``; a passage's evidence is ``rate * score - ln n`` and it is significant
-if this is above ``-ln(significance)``. A document's evidence, the sum over its significant passages
-or else that of its best, becomes a probability by a logistic curve, fitted on labelled rows that
-gave no counts.
+if this is above ``-ln(significance)``. A document's evidence, that of its r best passages together,
+becomes a probability by a logistic curve, fitted on labelled rows that gave no counts.
+
+Copies of one labelled text would pass its words off as common, so a document counts by the
+inverse number of labelled documents that agree with it in MinHash values.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from millrace.llm.common import held_out
+from millrace.llm.common import held_out, text_or_empty
+from millrace.llm.near_dups import WordHashes, shingle_set, signature
 from millrace.sources import materialise
 
 #: Labelled rows of each class that a fit uses at most, by hash order; a quarter calibrates.
@@ -105,9 +109,18 @@ def _passages(text: str, words: list[str], known: _WordScores) -> list[tuple[int
     return [(a, b, model.rate * s - bar) for a, b, s in maximal_segments(scores)]
 
 
-def _evidence(passages: list[tuple[int, int, float]], bar: float) -> float:
-    sure = [e for *_, e in passages if e > bar]
-    return sum(sure) if sure else max((e for *_, e in passages), default=NOTHING)
+def _evidence(passages: list[tuple[int, int, float]]) -> float:
+    """Evidence of all passages together, by the law for the sum of the r best of them.
+
+    The r best add up, and ``ln r!`` counts the orders in which they could have come; r is the best choice.
+    """
+    total, most = 0.0, -math.inf
+    for r, e in enumerate(sorted((e for *_, e in passages), reverse=True), 1):
+        total += e + math.log(r)
+        if total <= most:
+            break
+        most = total
+    return max(most, NOTHING)
 
 
 def toxicity_column(spark, model: ToxicityModel, text: str = "text") -> Column:
@@ -125,7 +138,7 @@ def toxicity_column(spark, model: ToxicityModel, text: str = "text") -> Column:
                 lower = (text or "").lower()
                 words = _WORDS.findall(lower)
                 found = _passages(lower, words, known)
-                x = _evidence(found, bar)
+                x = _evidence(found)
                 score = 1 / (1 + math.exp(-max(-700.0, min(700.0, model.slope * x + model.intercept))))
                 spans = []
                 if any(e > bar for *_, e in found):
@@ -141,8 +154,34 @@ def toxicity_column(spark, model: ToxicityModel, text: str = "text") -> Column:
     return judge(F.col(text))
 
 
+def _weighted(rows: DataFrame) -> DataFrame:
+    """Add ``mark``, alike for most copies, and ``weight`` (in thousandths) to labelled texts.
+
+    Each of four pairs of MinHash values is shared by two texts with a chance of their similarity
+    squared; the weight is the mean inverse number of rows that share a pair.
+    """
+    marks = [f"m{k}" for k in range(4)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            signs = [signature(shingle_set(t.as_py(), words))[:2].view("<i4") for t in batch.column(1)]
+            columns = np.array(signs, np.int64).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], names=["key", *marks])
+
+    keyed = rows.withColumn("key", F.xxhash64("text"))
+    narrow = keyed.select("key", F.col("text").cast("binary")).mapInArrow(
+        run, "key long, " + ", ".join(f"{m} long" for m in marks)
+    )
+    shares = [1 / F.count(F.lit(1)).over(Window.partitionBy(m)) for m in marks]
+    weights = narrow.select("key", F.col("m0").alias("mark"), F.round(sum(shares[1:], shares[0]) * 250).alias("weight"))
+    # As many rows as the bounded sample has at most.
+    weights = materialise(weights.groupBy("key").agg(F.min("mark").alias("mark"), F.min("weight").cast("long").alias("weight")))
+    return keyed.join(F.broadcast(weights), "key").drop("key")
+
+
 def _counts(rows: DataFrame) -> DataFrame:
-    """feature, toxic, clean: documents that have the feature; the empty feature has the totals."""
+    """feature, toxic, clean: weights of documents that have the feature; the empty feature has the totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -158,16 +197,17 @@ def _counts(rows: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, toxic, weight in zip(*[c.to_pylist() for c in batch.columns]):
                 words = set(_WORDS.findall((text or "").lower()))
                 features = {f for w in words for f in _features(w)}
-                counts[toxic].update(features)
-                counts[toxic][""] += len(features)
+                for feature in features:
+                    counts[toxic][feature] += weight
+                counts[toxic][""] += weight * len(features)
                 if len(counts[0]) + len(counts[1]) > 300_000:
                     yield flush()
         yield flush()
 
-    parts = rows.select("text", F.col("toxic").cast("int")).mapInArrow(
+    parts = rows.select("text", F.col("toxic").cast("int"), "weight").mapInArrow(
         run, "feature string, toxic long, clean long"
     )
     return parts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -226,19 +266,19 @@ def fit_toxicity(
         usable.where(f"toxic = {k}").orderBy("order", "doc_id").limit(n)
         for k, n in ((1, toxic_rows), (0, clean_rows))
     ]
-    chosen = materialise(
-        chosen[0].unionByName(chosen[1]).withColumn("calibrates", F.pmod("order", F.lit(4)) == 0)
-    )
+    chosen = materialise(chosen[0].unionByName(chosen[1]).select("doc_id", "toxic"))
     # At most toxic_rows + clean_rows narrow rows, so it can be broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = materialise(rows.select("text", "toxic", "calibrates"))
+    rows = _weighted(materialise(rows.select(text_or_empty().alias("text"), "toxic")))
+    # Copies are on one side.
+    rows = materialise(rows.withColumn("calibrates", F.pmod("mark", F.lit(4)) == 0).drop("mark"))
     counts = materialise(_counts(rows.where("NOT calibrates")))
     totals = counts.where("feature = ''").first()
     if totals is None or not totals["toxic"]:
         return ToxicityModel()
-    n1, n0 = float(totals["toxic"]), float(totals["clean"])
+    n1, n0 = totals["toxic"] / 1000, totals["clean"] / 1000
     n, weight = n1 + n0, prior * (n1 + n0)
-    toxic, clean = F.col("toxic"), F.col("clean")
+    toxic, clean = F.col("toxic") / 1000, F.col("clean") / 1000
     both = toxic + clean
     y1, y0 = toxic + both * prior, clean + both * prior
     odds = F.log(y1 / (n1 + weight - y1)) - F.log(y0 / (n0 + weight - y0))

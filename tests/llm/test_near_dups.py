@@ -115,7 +115,7 @@ def test_pairs_within_the_distance_share_a_bucket():
 
 
 def test_shingles_lower_ascii_only():
-    memory = near_dups._WordHashes()
+    memory = near_dups.WordHashes()
     assert list(shingle_set("A B C".encode(), memory)) == list(shingle_set("a\x0bb\x0cc".encode(), memory))
     assert list(shingle_set("É b c".encode(), memory)) != list(shingle_set("é b c".encode(), memory))
     assert len(shingle_set("a b c".encode(), memory)) == 1  # a no-break space does not end a word
