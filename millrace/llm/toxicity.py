@@ -35,7 +35,7 @@ from millrace.llm.common import held_out, text_or_empty
 from millrace.llm.near_dups import WordHashes, shingle_set, signature
 from millrace.sources import materialise
 
-#: Labelled rows of each class that a fit uses at most, by hash order; a quarter calibrates.
+#: Labelled rows of each class that a fit uses, drawn by hash; a quarter of them calibrates.
 TOXIC_ROWS, CLEAN_ROWS = 6_000, 9_000
 #: Features that a model holds at most, the surest first.
 MAX_FEATURES = 50_000
@@ -250,9 +250,9 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from ``labels`` (doc_id, toxic) of documents outside the held-out fold.
 
-    A bounded sample is enough for the few features that matter: at most ``toxic_rows`` and
-    ``clean_rows`` documents, those with the smallest hashes of their ids. Rows without an id
-    or label are not used; an id labelled both ways is toxic. Without toxic examples the model calls
+    A bounded sample is enough for the few features that matter: about ``toxic_rows`` and
+    ``clean_rows`` documents at most, drawn by the hash of their ids. Rows without an id or
+    label are not used; an id labelled both ways is toxic. Without toxic examples the model calls
     nothing toxic. ``prior`` is the weight of the Dirichlet prior as a part of all counts.
     """
     spark = docs.sparkSession
@@ -260,14 +260,13 @@ def fit_toxicity(
         labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .withColumn("order", F.xxhash64("doc_id"))
     )
-    chosen = [
-        usable.where(f"toxic = {k}").orderBy("order", "doc_id").limit(n)
-        for k, n in ((1, toxic_rows), (0, clean_rows))
-    ]
-    chosen = materialise(chosen[0].unionByName(chosen[1]).select("doc_id", "toxic"))
-    # At most toxic_rows + clean_rows narrow rows, so it can be broadcast.
+    sizes = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    parts = {k: min(1.0, n / sizes.get(k, 1)) for k, n in ((1, toxic_rows), (0, clean_rows))}
+    part = F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0])
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < part * 1_000_000
+    # About toxic_rows + clean_rows narrow rows at most, so it can be broadcast.
+    chosen = materialise(usable.where(drawn))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = _weighted(materialise(rows.select(text_or_empty().alias("text"), "toxic")))
     # Copies are on one side.
