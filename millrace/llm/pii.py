@@ -299,14 +299,11 @@ def fit_skip_chain(docs: DataFrame, fit_rows: int = FIT_ROWS, most_shapes: int =
 _SPAN = "struct<kind: string, start: int, end: int>"
 
 
-def pii_column(spark, model: SkipChain, text: str = "text") -> Column:
+def pii_column(model: SkipChain, text: str = "text") -> Column:
     """struct of base and added spans (kind, start, end; by kind and start) of a text."""
-    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(f"base array<{_SPAN}>, added array<{_SPAN}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-
         def told(spans: list[tuple[int, int, int]]) -> list[dict]:
             return [{"kind": KINDS[k], "start": a, "end": b} for k, a, b in sorted(spans)]
 
@@ -325,7 +322,7 @@ def find_pii(docs: DataFrame, model: SkipChain) -> DataFrame:
     Spans are in the order of :data:`KINDS`, then of start. A null text is empty and has none. An added span never
     overlaps a base span. Equal texts get equal spans.
     """
-    found = docs.withColumn("_pii", pii_column(docs.sparkSession, model))
+    found = docs.withColumn("_pii", pii_column(model))
     return (
         found.withColumn("base_spans", F.col("_pii.base")).withColumn("added_spans", F.col("_pii.added")).drop("_pii")
     )

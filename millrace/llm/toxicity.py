@@ -123,14 +123,12 @@ def _evidence(passages: list[tuple[int, int, float]]) -> float:
     return max(most, NOTHING)
 
 
-def toxicity_column(spark, model: ToxicityModel, text: str = "text") -> Column:
+def toxicity_column(model: ToxicityModel, text: str = "text") -> Column:
     """struct of evidence, score (0 to 1) and the significant passages (code points) of a text."""
-    shared = spark.sparkContext.broadcast(model)
     kind = "evidence double, score double, passages array<struct<start: int, end: int, evidence: double>>"
 
     @F.pandas_udf(kind)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
         known, bar = _WordScores(model), -math.log(model.significance)
         for texts in batches:
             rows = []
@@ -255,7 +253,6 @@ def fit_toxicity(
     label are not used; an id labelled both ways is toxic. Without toxic examples the model calls
     nothing toxic. ``prior`` is the weight of the Dirichlet prior as a part of all counts.
     """
-    spark = docs.sparkSession
     usable = (
         labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
         .where(~held_out(F.col("doc_id")))
@@ -299,7 +296,7 @@ def fit_toxicity(
         return ToxicityModel()
     model = ToxicityModel(scores=dict(zip(scored.feature, scored.score.tolist())))
     model.rate = _rate(scored.score.to_numpy(), scored.share.to_numpy(), model.background)
-    checks = rows.where("calibrates").select("toxic", toxicity_column(spark, model)["evidence"].alias("x"))
+    checks = rows.where("calibrates").select("toxic", toxicity_column(model)["evidence"].alias("x"))
     checks = checks.toPandas()
     if checks.empty or checks.toxic.nunique() < 2:
         model.slope, model.intercept = 1.0, 0.0
@@ -314,7 +311,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     A null or empty text has no passage and gets a low score. Columns of these names that
     ``docs`` has already are replaced. Equal texts get equal scores.
     """
-    judged = docs.withColumn("_toxicity", toxicity_column(docs.sparkSession, model))
+    judged = docs.withColumn("_toxicity", toxicity_column(model))
     for name in ("evidence", "score", "passages"):
         judged = judged.withColumn(name, F.col(f"_toxicity.{name}"))
     return judged.drop("_toxicity")
@@ -322,5 +319,5 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, least_score: float = 0.5) -> DataFrame:
     """The rows of ``docs``, columns unchanged, that score below ``least_score``."""
-    score = toxicity_column(docs.sparkSession, model)["score"]
+    score = toxicity_column(model)["score"]
     return docs.where(score < least_score)
