@@ -1,11 +1,13 @@
 """Near-duplicates against all pairs, components against a union-find, and edge rows."""
 
 import random
+from functools import partial
 from itertools import combinations
 
 import numpy as np
 
 from millrace.llm import near_dups
+from millrace.llm.common import wide_join
 from millrace.llm.near_dups import components, drop_near_duplicates, near_duplicates, shingle_set
 from tests.helpers import rows
 
@@ -47,6 +49,7 @@ def expected(docs):
 
 def test_links_are_those_of_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(near_dups, "BLOCK", 20)
+    monkeypatch.setattr(near_dups, "wide_join", partial(wide_join, few=0))
     texts = []
     for group in range(6):
         base = words(120, group)
