@@ -106,7 +106,8 @@ def rake(
             for other, factor in factors.items():
                 if other != dimension:
                     named = factor.withColumnRenamed("level", other)
-                    weighted = weighted.join(named, other).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+                    scaled = F.col("weight") * F.col("factor")
+                    weighted = weighted.join(named, other).withColumn("weight", scaled).drop("factor")
             sums = weighted.groupBy(F.col(dimension).alias("level")).agg(F.sum("weight").alias("weight"))
             new = sums.join(target, "level").select("level", (F.col("target") / F.col("weight")).alias("factor"))
             new = materialise(new)

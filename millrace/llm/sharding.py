@@ -95,9 +95,10 @@ def shard_documents(docs: DataFrame, shards: int, keep: Sequence[str] = ()) -> D
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
     """Write whole documents into one folder per shard, rows in slot order within each file.
 
-    ``placed`` comes from :func:`shard_documents`; ids must be unique and not null.
+    ``placed`` comes from :func:`shard_documents`; ids must be unique and not null. Columns
+    shard and slot of ``docs`` are replaced.
     """
     places = materialise(placed.select("doc_id", "shard", "slot"))
-    rows = wide_join(docs, places, ["doc_id"], "inner")
+    rows = wide_join(docs.drop("shard", "slot"), places, ["doc_id"], "inner")
     spread = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     spread.write.mode("overwrite").partitionBy("shard").parquet(path)

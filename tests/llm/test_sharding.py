@@ -34,12 +34,13 @@ def test_contiguous_and_balanced(spark):
 
 
 def test_files(spark, tmp_path):
-    df = spark.createDataFrame([(i, f"text {i}" * (i % 9)) for i in range(200)], "doc_id long, text string")
+    data = [(i, f"text {i}" * (i % 9), -1) for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, slot int")
     placed = shard_documents(df, 4)
     write_shards(df, placed, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert rows(back, "doc_id", "shard", "slot") == rows(placed, "doc_id", "shard", "slot")
-    assert rows(back, "doc_id", "text") == rows(df)
+    assert rows(back, "doc_id", "text") == rows(df, "doc_id", "text")
 
 
 def test_edge_rows(spark):
