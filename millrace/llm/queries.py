@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +39,26 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-@query("op9_near_dups")
+_NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+      FROM w),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+x AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+SELECT doc_id, n::BIGINT AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept
+FROM r JOIN n ON n.doc_id = r.node GROUP BY doc_id, n"""
+
+
+@query("op9_near_dups", _NEAR_SQL)
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -71,7 +91,24 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op5_byte_shards")
+_SHARD_SQL = """
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1]::UBIGINT[],
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)) AS crc),
+b AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 8 AS size, list_transform(
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::UBIGINT) AS bytes
+      FROM documents),
+c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295::UBIGINT, bytes), lambda x, y:
+        xor(x >> 8, t.crc[((xor(x, y) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32 FROM b, t),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) AS up_to,
+             sum(size) OVER () AS total FROM c),
+s AS (SELECT *, ((2 * up_to - size) * 24 // (2 * total))::INTEGER AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot,
+       NULL::INTEGER AS grown_shard
+FROM s"""
+
+
+@query("op5_byte_shards", _SHARD_SQL)
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(load(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -80,7 +117,38 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_secret_scan")
+def _matches_sql(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Matches with their places: the text between matches and the matches add up, in turn."""
+    return f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, unnest(list_transform(range(1, len(found) + 1),
+        lambda i: struct_pack(
+            s := list_sum(list_transform(gaps[1:i], lambda p: length(p)))
+                 + coalesce(list_sum(list_transform(found[1:i - 1], lambda p: length(p))), 0),
+            size := length(found[i]), checked := length(checked[i])))) AS m
+    FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found,
+                 regexp_extract_all(t, '{pattern}', {group}) AS checked FROM d)"""
+
+
+_KEYWORDS = "|".join(
+    re.sub("[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", word)
+    for word in ("password", "passwd", "secret", "token", "api_?key")
+)
+_ASSIGN = rf"({_KEYWORDS})[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_SECRET_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_matches_sql(1, "assign", _ASSIGN, 2, 6)}
+    UNION ALL {_matches_sql(2, "access", "AKIA[A-Z0-9]+", 0, 20)}
+    UNION ALL {_matches_sql(3, "hex", "[0-9a-f]+", 0, 24)}),
+f AS (SELECT doc_id, rank, kind, m.s::BIGINT AS s, (m.s + m.size)::BIGINT AS e FROM m WHERE m.checked >= least),
+g AS (SELECT doc_id, count(*) FILTER (rank = 1) AS n_assign, count(*) FILTER (rank = 2) AS n_access,
+             count(*) FILTER (rank = 3) AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+      FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)"""
+
+
+@query("op3_secret_scan", _SECRET_SQL)
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = scratch_path(spark, "blob-ledger")
     found = find_secrets(load(spark, sf_dir, "documents"), ["doc_id"], ledger)
