@@ -33,8 +33,9 @@ from millrace.sources import materialise
 RUN_RECORDS = 5_000
 #: Index entries that one merging task holds, on average.
 MERGE_ENTRIES = 200_000
-#: Capture time of page 0 where pages have none; page n is captured n seconds later.
+#: Capture time of page 0; page n is captured n seconds later, modulo a hundred years.
 EPOCH = 1_700_000_000
+CENTURY = 36_525 * 86_400
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _CRLF = "\r\n"
@@ -64,8 +65,16 @@ def url_key(url: Column) -> Column:
 
 
 def _captured(page_id: Column) -> Column:
-    moment = F.timestamp_seconds(F.coalesce(page_id, F.lit(0)) + EPOCH)
-    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """The capture time in UTC, worked out from numbers so that no session time zone matters."""
+    seconds = F.pmod(F.coalesce(page_id, F.lit(0)), F.lit(CENTURY)) + EPOCH
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int"))
+    rest = seconds % 86_400
+
+    def two(n: Column) -> Column:
+        return F.lpad(F.floor(n).cast("string"), 2, "0")
+
+    clock = F.concat_ws(":", two(rest / 3600), two(rest % 3600 / 60), two(rest % 60))
+    return F.concat(day.cast("string"), F.lit("T"), clock, F.lit("Z"))
 
 
 def _revisits(pages: DataFrame, least_bytes: int) -> DataFrame:

@@ -49,7 +49,7 @@ def test_round_trip(spark, tmp_path):
     trap = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     bodies = ["", "<p>é</p>", trap, "\r\n\r\n", "x" * 300_000, "same", "a\nb", None]
     pages = [(i, f"http://h{rng.randrange(6)}.example.com/{rng.randrange(3)}", rng.choice(bodies)) for i in range(300)]
-    pages += [(400, None, "same"), (401, "http://a.b/\r\nX: y", "one"), (None, "http://a.b/", "same"), (5, pages[5][1], pages[5][2])]
+    pages += [(2**62, "http://z.example.com/", "late"), (-5, "http://z.example.com/", "early"), (400, None, "same"), (401, "http://a.b/\r\nX: y", "one"), (None, "http://a.b/", "same"), (5, pages[5][1], pages[5][2])]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("size", F.lit("clash"))
     path = str(tmp_path / "warc")
     write_archives(df.repartition(5), path, run_records=17)
@@ -61,6 +61,8 @@ def test_round_trip(spark, tmp_path):
     keys = [(r["key"], r["captured"], r["page_id"] is not None, r["page_id"]) for r in found]
     assert keys == sorted(keys, key=lambda k: (k[0], k[1], k[2], k[3] or 0))
     assert len({r["run"] for r in found}) > 10
+    times = {r["page_id"]: r["captured"] for r in found}
+    assert times[0] == times[None] == "2023-11-14T22:13:20Z" and times[299] == "2023-11-14T22:18:19Z"
     assert {r["url"] for r in found if r["page_id"] == 401} == {"http://a.b/%0D%0AX: y"}
 
 
