@@ -421,12 +421,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # 1. Buckets with two members or more, each member with the bucket's hub.
     keyed = sets.select("set_id", F.posexplode(_bucket_keys()).alias("slot", "key"))
     sizes = keyed.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialise(lookup_join(keyed, materialise(sizes), ["slot", "key"]))
+    sizes = materialise(sizes.withColumn("rows", F.col("n")))
+    members = materialise(lookup_join(keyed, sizes, ["slot", "key"], rows_per_key="rows"))
     reach = materialise(members.groupBy("set_id").agg(F.sum("n").alias("reach")))
     ranked = members.join(reach, "set_id").select("slot", "key", F.struct("reach", "set_id").alias("hub"))
-    hubs = materialise(ranked.groupBy("slot", "key").agg(F.max("hub")["set_id"].alias("hub")))
+    hubs = ranked.groupBy("slot", "key").agg(
+        F.max("hub")["set_id"].alias("hub"), F.count("*").alias("rows")
+    )
     stars = (
-        lookup_join(members, hubs, ["slot", "key"])
+        lookup_join(members, materialise(hubs), ["slot", "key"], rows_per_key="rows")
         .where("set_id <> hub")
         .select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
     )
