@@ -113,13 +113,12 @@ def _evidence(passages: list[tuple[int, int, float]]) -> float:
     """Evidence of all passages together, by the law for the sum of the r best of them.
 
     The r best add up, and ``ln r!`` counts the orders in which they could have come; r is the best choice.
+    A sum can fall and rise again, as evidence falls with r and ``ln r`` grows, so every r is tried.
     """
     total, most = 0.0, -math.inf
     for r, e in enumerate(sorted((e for *_, e in passages), reverse=True), 1):
         total += e + math.log(r)
-        if total <= most:
-            break
-        most = total
+        most = max(most, total)
     return max(most, NOTHING)
 
 

@@ -7,7 +7,7 @@ import pytest
 
 from millrace.llm.common import in_held_out
 from millrace.llm.toxicity import (
-    ToxicityModel, drop_toxic, fit_toxicity, maximal_segments, score_toxicity,
+    ToxicityModel, _evidence, drop_toxic, fit_toxicity, maximal_segments, score_toxicity,
 )
 
 BAD = ["vilewort", "grudgeon", "snarlack"]
@@ -36,6 +36,23 @@ def test_segments():
         assert got == brute_segments(scores)
 
 
+@pytest.mark.parametrize("each, count", [(-2.0, 40), (-2.0, 100), (-3.6, 150), (1.0, 3), (-9.0, 5)])
+def test_evidence_of_the_best_number_of_passages(each, count):
+    sums = [r * each + sum(np.log(np.arange(1, r + 1))) for r in range(1, count + 1)]
+    assert _evidence([(i, i + 1, each) for i in range(count)]) == pytest.approx(max(sums))
+
+
+def test_scattered_passages_of_a_long_text(spark):
+    """Weak by themselves, as ln n is above their score; a few of them are still nothing."""
+    model = ToxicityModel(scores={"vilewort": 8.0}, slope=1.0, intercept=0.0)
+    many, few = ("calm " * 40 + "vilewort ") * 1000, "calm " * 20_000 + ("calm " * 40 + "vilewort ") * 5 + "calm " * 20_000
+    df = spark.createDataFrame([(1, many), (2, few), (3, "calm " * 41_000)], "doc_id long, text string")
+    judged = {r["doc_id"]: r for r in score_toxicity(df, model).collect()}
+    assert all(not r["passages"] for r in judged.values())
+    assert {i: r["score"] >= 0.5 for i, r in judged.items()} == {1: True, 2: False, 3: False}
+    assert {r["doc_id"] for r in drop_toxic(df, model).collect()} == {2, 3}
+
+
 def corpus(n, seed=0):
     rng = random.Random(seed)
     plain = ["".join(rng.choice("aeioulmnrst") for _ in range(6)) for _ in range(400)]
