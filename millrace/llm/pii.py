@@ -88,13 +88,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _number_keys(text: str) -> list[str]:
+    digits = "".join(_DIGIT.findall(text))
+    return [f"#{digits}", f"~{digits[-TAIL:]}"] if len(digits) >= TAIL else []
+
+
 def _keys(core: str) -> list[str]:
     """What similar tokens have in common."""
     lower = core.lower()
     keys = [f"={lower}"]
-    digits = "".join(_DIGIT.findall(core))
-    if len(digits) >= TAIL:
-        keys += [f"#{digits}", f"~{digits[-TAIL:]}"]
+    keys += _number_keys(core)
     name = lower.partition("@")[0]
     if len(name) >= 5 and any(not c.isalpha() for c in name):
         keys.append(f"@{name}")
@@ -126,17 +129,22 @@ def build_graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
         if core:
             start = m.start() + m.group().index(core)
             tokens.append((start, start + len(core), core))
-    labels = [NONE] * len(tokens)
+    labels, spans = [NONE] * len(tokens), [None] * len(tokens)
     starts = [t[0] for t in tokens]
     for kind, start, end in sorted(base, reverse=True):
         # Earlier kinds win where spans overlap.
         at = max(0, int(np.searchsorted(starts, start, "right")) - 1)
         while at < len(tokens) and tokens[at][0] < end:
             if tokens[at][1] > start:
-                labels[at] = kind
+                labels[at], spans[at] = kind, (start, end)
             at += 1
-    found = {k for t, label in zip(tokens, labels) if label != NONE for k in _keys(t[2])}
-    keyed = [[k for k in _keys(t[2]) if k in found] for t in tokens]
+    keys = [_keys(t[2]) for t in tokens]
+    # A number in groups: its last token stands for the digits of the whole span.
+    for i, span in enumerate(spans):
+        if span and span not in spans[i + 1 : i + 2]:
+            keys[i] += [k for k in _number_keys(text[slice(*span)]) if k not in keys[i]]
+    found = {k for own, label in zip(keys, labels) if label != NONE for k in own}
+    keyed = [[k for k in own if k in found] for own in keys]
     graph, number, last = Graph(), {}, {}
     for i, (start, end, core) in enumerate(tokens):
         if labels[i] == NONE and not keyed[i]:

@@ -51,6 +51,18 @@ def test_long_texts_take_linear_time(text):
     base_spans(text)
 
 
+@pytest.mark.parametrize("found, other", [
+    ("+44 20 7946 0958", "020-7946-0958"), ("+1 415 555 2671", "4155552671"), ("+1 (415) 555-2671", "415-555-2671"),
+])
+def test_numbers_in_groups_are_tied_to_later_mentions(spark, found, other):
+    text = f"call {found} by noon, " + "quiet words " * 30 + f"or else {other} later"
+    base = base_spans(text)
+    assert [text[a:b] for _, a, b in base] == [found]
+    model = fit_skip_chain(spark.createDataFrame([(text,)], "text string"))
+    (added,) = added_spans([build_graph(text, base)], model)
+    assert [(KINDS[k], text[a:b]) for k, a, b in added] == [("phone", other)]
+
+
 def small_model(rng):
     shapes = {str(i): np.log(rng.dirichlet(np.ones(LABELS))) for i in range(6)}
     chain, skip = (rng.normal(size=(LABELS, LABELS)) for _ in range(2))
