@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.centroids import cluster_vectors
 from millrace.llm.chat_format import assemble, format_turns, loss_text, read_back
 from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
@@ -300,3 +301,52 @@ def op7_pii_field(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(told(F.col("base_spans")), 256).alias("base_sha256"), told(spans).alias("spans"),
         F.size("added_spans").alias("n_added"),
     )
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The centroids after each round as one list of lists, from c0, the first ones."""
+    step = """
+c{i} AS MATERIALIZED (
+    SELECT list(coalesce(moved.p, stays.p) ORDER BY stays.c) AS cs
+    FROM (SELECT unnest(cs) AS p, generate_subscripts(cs, 1) - 1 AS c FROM c{before}) stays
+    LEFT JOIN (
+        SELECT c, list((((s - ((s % n) + n) % n) // n))::BIGINT ORDER BY pos) AS p
+        FROM (SELECT m.c AS c, pos, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+              FROM (SELECT m, unnest(p) AS x, generate_subscripts(p, 1) AS pos
+                    FROM (SELECT p, nearest(p, cs) AS m FROM v, c{before}))
+              GROUP BY ALL)
+        GROUP BY c) moved USING (c))"""
+    return ",".join(step.format(i=i, before=i - 1) for i in range(1, rounds + 1))
+
+
+_LAESA_SQL = f"""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS p,
+           sha256('3:' || vec_id) AS h
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT list(p ORDER BY h NULLS LAST, p) AS cs
+                    FROM (SELECT * FROM v ORDER BY h NULLS LAST, p LIMIT 8)),{_rounds_sql(10)},
+a AS (SELECT vec_id, nearest(p, cs) AS m, cs FROM v, c10)
+SELECT vec_id, m.c::INTEGER AS cluster, m.d::BIGINT AS distance,
+       sum(m.d) OVER (PARTITION BY m.c)::BIGINT AS cluster_inertia, sum(m.d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(cs[m.c + 1], ',')) AS centroid_sha256
+FROM a""".replace("nearest(p, cs)", """list_min(list_transform(range(len(cs)), lambda i: struct_pack(
+        d := list_sum(list_transform(list_zip(p, cs[i + 1]), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT,
+        c := i)))""")
+
+
+@query("op13_laesa_clusters", _LAESA_SQL)
+def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, clusters = cluster_vectors(load(spark, sf_dir, "embeddings"))
+    numbers = F.transform("centroid", lambda x: x.cast("string"))
+    total = clusters.agg(F.sum("inertia")).first()[0]
+    told = clusters.select(
+        "cluster", F.col("inertia").cast("long").alias("cluster_inertia"),
+        F.sha2(F.array_join(numbers, ","), 256).alias("centroid_sha256"),
+    )
+    # A row per cluster.
+    return members.join(F.broadcast(told), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", F.lit(total).cast("long").alias("inertia"),
+        "centroid_sha256",
+    )

@@ -21,7 +21,7 @@ def test_names():
     import __spark_entry__ as entry
 
     numbers = {n.split("_")[0] for n in QUERIES}
-    assert numbers == {f"op{i}" for i in range(1, 11)}
+    assert numbers == {f"op{i}" for i in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
