@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.centroids import cluster_vectors
 from millrace.llm.chat_format import assemble, format_turns, loss_text, read_back
+from millrace.llm.collocations import mine_collocations
 from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
 from millrace.llm.mixing import add_mix_columns, sample_mix
@@ -350,3 +351,31 @@ def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "cluster", "distance", "cluster_inertia", F.lit(total).cast("long").alias("inertia"),
         "centroid_sha256",
     )
+
+
+_PHRASE_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS sizes(k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k >= 2 AND f >= 10),
+cuts AS (SELECT c.*, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail
+         FROM c, (VALUES (1), (2)) AS pos(j) WHERE j < k),
+scored AS (SELECT cuts.lang, cuts.k, cuts.phrase, a, min(struct_pack(score := 1000000 * a * a // (x.f * y.f), j := j, l := x.f, r := y.f)) AS m
+           FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail
+           GROUP BY ALL),
+inner_ AS (SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, max(a) AS longest
+           FROM c, (VALUES (1), (2)) AS pos(s) WHERE k = 3 GROUP BY ALL),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY m.score DESC, a DESC, phrase) AS rank, phrase, a, m
+           FROM scored LEFT JOIN inner_ USING (lang, phrase)
+           WHERE longest IS NULL OR k = 3 OR 100 * longest < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, m.l::BIGINT AS l, m.r::BIGINT AS r, n, m.score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query("op12_collocations", _PHRASE_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(load(spark, sf_dir, "documents"))
