@@ -13,6 +13,7 @@ from millrace.llm.chat_format import assemble, format_turns, loss_text, read_bac
 from millrace.llm.collocations import mine_collocations
 from millrace.llm.common import held_out, load
 from millrace.llm.decontaminate import find_contamination
+from millrace.llm.embedding_dups import near_embeddings
 from millrace.llm.mixing import add_mix_columns, sample_mix
 from millrace.llm.near_dups import near_duplicates
 from millrace.llm.pii import KINDS, find_pii, fit_skip_chain
@@ -304,6 +305,25 @@ def op7_pii_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_COSINE_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+    SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm
+    FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
+    WHERE len(e) > 0 AND len(list_filter(e, lambda x: isfinite(x))) = len(e)),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+      WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(a.e, b.e) >= 0.95 * a.norm * b.norm),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+d AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT node AS vec_id, coalesce(max(n), 0)::BIGINT AS n_links, min(seen) AS component_id, node = min(seen) AS kept
+FROM r LEFT JOIN d ON d.a = r.node GROUP BY node"""
+
+
+@query("op11_embedding_dups", _COSINE_SQL)
+def op11_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(load(spark, sf_dir, "embeddings"))
+
+
 def _rounds_sql(rounds: int) -> str:
     """The centroids after each round as one list of lists, from c0, the first ones."""
     step = """
