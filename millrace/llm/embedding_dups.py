@@ -42,6 +42,8 @@ WORDS = 2
 MAX_SIGNS = 40
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1000
+#: Links that wait in a task until the buckets that they meet in are compared.
+PAIRS = 500_000
 
 _U = np.uint64
 _RANKS = np.array(list(product(range(AXES), repeat=HASHES)))
@@ -54,24 +56,26 @@ def _signs(width: int) -> np.ndarray:
     return rng.choice(np.array([-1.0, 1.0]), size=(TABLES + extra, HASHES, 3, width))
 
 
-def _hadamard(x: np.ndarray) -> np.ndarray:
-    """The unscaled transform of the last axis, whose length is a power of two."""
-    n = x.shape[-1]
-    step = 1
-    while step < n:
-        pair = x.reshape(*x.shape[:-1], n // (2 * step), 2, step)
-        x = np.stack([pair[..., 0, :] + pair[..., 1, :], pair[..., 0, :] - pair[..., 1, :]], axis=-2)
-        x = x.reshape(*x.shape[:-3], n)
-        step *= 2
-    return x
-
-
 def _turned(units: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """rows x hashes x width: the rows under the rotations of one table."""
-    x = units[:, None, :]
-    for i in range(signs.shape[1]):
-        x = _hadamard(x * signs[:, i]) / np.sqrt(signs.shape[-1])
-    return x
+    """rows x hashes x width: the rows under each rotation, up to a common factor.
+
+    Components lie on the first axis meanwhile, so that each step of the transform adds long runs.
+    Only sums and differences are formed, so the result is the same on every machine.
+    """
+    width = units.shape[1]
+    flat = signs.reshape(-1, *signs.shape[-2:])
+    x = np.repeat(units.T[:, :, None], len(flat), axis=2)
+    for i in range(flat.shape[1]):
+        x *= flat[:, i].T[:, None, :]
+        step = 1
+        while step < width:
+            pair = x.reshape(width // (2 * step), 2, step, -1)
+            low, high = pair[:, 0], pair[:, 1]
+            less = low - high
+            low += high
+            high[...] = less
+            step *= 2
+    return np.ascontiguousarray(np.moveaxis(x, 0, 2))
 
 
 def _padded(units: np.ndarray) -> np.ndarray:
@@ -79,31 +83,39 @@ def _padded(units: np.ndarray) -> np.ndarray:
     return np.pad(units, ((0, 0), (0, width - units.shape[1])))
 
 
-def probe_keys(units: np.ndarray) -> np.ndarray:
+def _extremes(values: np.ndarray, k: int) -> np.ndarray:
+    """The places of the ``k`` largest values of the last axis, in order; ``values`` is used up."""
+    places = []
+    for _ in range(k):
+        at = values.argmax(axis=-1)[..., None]
+        places.append(at)
+        np.put_along_axis(values, at, -np.inf, axis=-1)
+    return np.concatenate(places, axis=-1)
+
+
+def probe_keys(units: np.ndarray, step: int = 256) -> np.ndarray:
     """rows x tables x probes: the keys that unit vectors look into; the first is their own."""
-    units = _padded(units)
-    width, rows = units.shape[1], len(units)
-    keys = np.empty((rows, TABLES, PROBES), np.int64)
-    for table in range(TABLES):
-        x = _turned(units, _signs(width)[table])
-        axes = np.argsort(-np.abs(x), axis=2, kind="stable")[:, :, :AXES]
-        value = np.take_along_axis(x, axes, axis=2)
+    keys = np.empty((len(units), TABLES, PROBES), np.int64)
+    for at in range(0, len(units), step):
+        part = _padded(units[at : at + step])
+        rows, width = part.shape
+        x = _turned(part, _signs(width)[:TABLES]).reshape(rows, TABLES, HASHES, width)
+        axes = _extremes(np.abs(x), AXES)
+        value = np.take_along_axis(x, axes, axis=-1)
         code = 2 * axes + (value < 0)
-        cost = (np.abs(value[:, :, :1]) - np.abs(value)) ** 2
-        total, joint = np.zeros((rows, len(_RANKS))), np.zeros((rows, len(_RANKS)), np.int64)
+        cost = (np.abs(value[..., :1]) - np.abs(value)) ** 2
+        total, joint = 0.0, 0
         for h in range(HASHES):
-            total += cost[:, h][:, _RANKS[:, h]]
-            joint = joint * (2 * width) + code[:, h][:, _RANKS[:, h]]
-        best = np.argsort(total, axis=1, kind="stable")[:, :PROBES]
-        keys[:, table] = np.take_along_axis(joint, best, axis=1)
+            total = total + cost[:, :, h][:, :, _RANKS[:, h]]
+            joint = joint * (2 * width) + code[:, :, h][:, :, _RANKS[:, h]]
+        keys[at : at + step] = np.take_along_axis(joint, _extremes(-total, PROBES), axis=-1)
     return keys
 
 
 def sign_words(units: np.ndarray) -> np.ndarray:
     """rows x words: the signs of further turned components, 64 to a word."""
     units = _padded(units)
-    signs = _signs(units.shape[1])[TABLES:]
-    bits = np.concatenate([_turned(units, s).reshape(len(units), -1) for s in signs], axis=1) < 0
+    bits = _turned(units, _signs(units.shape[1])[TABLES:]).reshape(len(units), -1) < 0
     return np.packbits(bits[:, : 64 * WORDS], axis=1).view("<i8")
 
 
@@ -235,35 +247,18 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.filter(pa.array(keep)).to_batches()
 
 
-class _Keys:
-    """The keys of some unit vectors, worked out when a link asks for them."""
-
-    def __init__(self, units: np.ndarray):
-        self.units, self.at, self.keys = units, np.full(len(units), -1), np.empty((0, TABLES, PROBES), np.int64)
-
-    def of(self, members: np.ndarray) -> np.ndarray:
-        new = np.unique(members[self.at[members] < 0])
-        if len(new):
-            self.at[new] = len(self.keys) + np.arange(len(new))
-            self.keys = np.concatenate([self.keys, probe_keys(self.units[new])])
-        return self.keys[self.at[members]]
-
-    def first_at(self, x: np.ndarray, y: np.ndarray, slot: int, key: int) -> np.ndarray:
-        """Whether this bucket is the first in which x and y meet (the smaller key of the first table)."""
-        a, b = self.of(x), self.of(y)
-        before = (a[:, :slot, 0] == b[:, :slot, 0]).any(axis=1)
-        sure = np.flatnonzero(~before)
-        a, b = a[sure], b[sure]
-        there = (a[:, :, :1] == b).any(axis=2)
-        here = (b[:, :, :1] == a).any(axis=2)
-        first = (there | here).argmax(axis=1)
-        at, none = np.arange(len(sure)), np.iinfo(np.int64).max
-        least = np.minimum(
-            np.where(there[at, first], a[at, first, 0], none), np.where(here[at, first], b[at, first, 0], none)
-        )
-        out = np.zeros(len(x), bool)
-        out[sure[(first == slot) & (least == key)]] = True
-        return out
+def _meet_here(x: np.ndarray, y: np.ndarray, table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether bucket (table, key) is the first in which vectors with the keys x and y meet.
+
+    That is the first table in which one is filed where the other looks, and there the smaller such key.
+    """
+    there = (x[:, :, :1] == y).any(axis=2)
+    here = (y[:, :, :1] == x).any(axis=2)
+    first = (there | here).argmax(axis=1)
+    at, none = np.arange(len(x)), np.iinfo(np.int64).max
+    own = np.where(there[at, first], x[at, first, 0], none)
+    other = np.where(here[at, first], y[at, first, 0], none)
+    return (first == table) & (np.minimum(own, other) == key)
 
 
 def _forest(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -282,50 +277,91 @@ def _forest(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int]]:
             yield a, b
 
 
+class _Links:
+    """Links found in some rows: their number per row and a spanning forest for each block pair."""
+
+    def __init__(self, rows: pa.Table, units: np.ndarray):
+        self.node, self.copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
+        self.slot, self.key = rows.column("slot").to_numpy(), rows.column("key").to_numpy()
+        self.units = units
+        self.links = np.zeros(len(rows), np.int64)
+        self.edges = np.empty((0, 2), np.int64)
+        self.pending: list[tuple[np.ndarray, np.ndarray]] = []
+        self.known = np.full(len(rows), -1)
+        self.keys = np.empty((0, TABLES, PROBES), np.int64)
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Pairs of rows that are close and share a bucket."""
+        self.pending.append((x, y))
+        if sum(len(a) for a, _ in self.pending) > PAIRS:
+            self.settle()
+
+    def settle(self, step: int = 20_000) -> None:
+        """Count the pending pairs whose first bucket this is."""
+        x, y = (np.concatenate([np.empty(0, np.int64), *side]) for side in zip(*self.pending or [((), ())]))
+        self.pending = []
+        x, y = x.astype(np.int64), y.astype(np.int64)
+        self._look_up(np.unique(np.concatenate([x, y])))
+        new = np.zeros(len(x), bool)
+        for at in range(0, len(x), step):
+            a, b = x[at : at + step], y[at : at + step]
+            keys = self.keys[self.known[a]], self.keys[self.known[b]]
+            new[at : at + step] = _meet_here(*keys, self.slot[a] % TABLES, self.key[a])
+        x, y = x[new], y[new]
+        np.add.at(self.links, x, self.copies[y])
+        np.add.at(self.links, y, self.copies[x])
+        edges = np.concatenate([self.edges, np.stack([x, y], axis=1)])
+        self.edges = np.array(list(_forest(*edges.T)), np.int64).reshape(-1, 2)
+
+    def _look_up(self, rows: np.ndarray) -> None:
+        rows = rows[self.known[rows] < 0]
+        _, first, of = np.unique(self.node[rows], return_index=True, return_inverse=True)
+        self.known[rows] = len(self.keys) + of
+        self.keys = np.concatenate([self.keys, probe_keys(self.units[rows[first]])])
+
+    def batch(self) -> pa.RecordBatch:
+        """(a, null, links) for every row with links, and (a, b, null) for every edge of the forests."""
+        self.settle()
+        linked = np.flatnonzero(self.links)
+        a = np.concatenate([self.node[linked], self.node[self.edges[:, 0]]])
+        b = np.concatenate([np.zeros(len(linked), np.int64), self.node[self.edges[:, 1]]])
+        links = np.concatenate([self.links[linked], np.zeros(len(self.edges), np.int64)])
+        is_edge = np.arange(len(a)) >= len(linked)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b, mask=~is_edge), pa.array(links, mask=is_edge)], names=["a", "b", "links"]
+        )
+
+
 def _linker(cosine: float, step: int = 256):
-    """The function of a task: (a, null, links) per member with links, and (a, b, null) per forest edge."""
+    """The function of a task: the links of its block pairs."""
 
-    def group(table: pa.Table, out: tuple[list, list, list]) -> None:
-        node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+    def linked(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        (_, units), = _units(table.column("vector").chunk(0))
         block, own = table.column("block").to_numpy(), table.column("own").to_numpy().astype(bool)
-        slot, key, i, j = (table.column(c)[0].as_py() for c in _GROUP)
-        vectors = table.column("vector").combine_chunks()
-        vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
-        (_, units), = _units(vectors)  # a bucket has vectors of one length
-        keys, links = _Keys(units), np.zeros(len(table), np.int64)
-        edges: list[tuple[np.ndarray, np.ndarray]] = []
-        for left, right, same in _sides(block, own, i, j):
-            for at in range(0, len(left), step):
-                part = left[at : at + step]
-                a, b = np.nonzero(units[part] @ units[right].T >= cosine)
-                x, y = part[a], right[b]
-                if same:
-                    x, y = x[x < y], y[x < y]
-                if not len(x):
-                    continue
-                new = keys.first_at(x, y, slot % TABLES, key)
-                x, y = x[new], y[new]
-                np.add.at(links, x, copies[y])
-                np.add.at(links, y, copies[x])
-                kept = np.array(list(_forest(x, y)), np.int64).reshape(-1, 2)
-                edges.append((kept[:, 0], kept[:, 1]))
-        linked = np.flatnonzero(links)
-        out[0].extend(node[linked].tolist())
-        out[1].extend([None] * len(linked))
-        out[2].extend(links[linked].tolist())
-        if edges:
-            for a, b in _forest(*(np.concatenate(side) for side in zip(*edges))):
-                out[0].append(int(node[a]))
-                out[1].append(int(node[b]))
-                out[2].append(None)
+        links = _Links(table, units)
+        for at in _groups(table):
+            if at.stop - at.start < 2:
+                continue
+            i, j = (table.column(c)[at.start].as_py() for c in "ij")
+            inside = units[at]
+            for left, right, same in _sides(block[at], own[at], i, j):
+                for start in range(0, len(left), step):
+                    part = left[start : start + step]
+                    a, b = np.nonzero(inside[part] @ inside[right].T >= cosine)
+                    x, y = part[a], right[b]
+                    if same:
+                        x, y = x[x < y], y[x < y]
+                    if len(x):
+                        links.add(at.start + x, at.start + y)
+        return links.batch()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
-            out: tuple[list, list, list] = ([], [], [])
-            for at in _groups(table):
-                if at.stop - at.start > 1:
-                    group(table.slice(at.start, at.stop - at.start), out)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b", "links"])
+            width = table.column("slot").to_numpy() // TABLES
+            starts = [0, *(np.flatnonzero(width[1:] != width[:-1]) + 1).tolist(), len(table)]
+            for start, end in zip(starts, starts[1:]):
+                yield linked(table.slice(start, end - start))
 
     return run
 
