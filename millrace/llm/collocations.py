@@ -5,9 +5,9 @@ of words decides where a chunk ends and the next begins, so equal passages are c
 they occur, and the chunks of repeated text are repeated chunks. Neighbouring chunks overlap by
 the window. The dictionary is the distinct chunks with how often the parse uses each.
 
-N-grams are counted inside the distinct chunks only, times the chunk's frequency. One that starts
+Phrases are counted inside the distinct chunks only, times the chunk's frequency. One that starts
 in the last window of a chunk belongs to the next chunk, which begins there, so every occurrence
-is counted once: a window is one word shorter than the longest phrase, so each n-gram lies whole
+is counted once: a window is one word shorter than the longest phrase, so each phrase lies whole
 in the chunk that it starts in. The end of a text is padded by a window of marks.
 
 Scores are exact: products are decimals of 38 digits.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,6 +35,9 @@ CHUNK_WORDS = 16
 HELD = 400_000
 #: The mark between pieces; it ends pieces, so no word is like it.
 MARK = b"."
+#: Between the words of a phrase while phrases are sorted: below all bytes of (escaped) words, so that
+#: all phrases with the same first words are neighbours.
+GAP = b"\x00"
 #: A-Z in lower case, ends of pieces as line feeds, other bytes as they are.
 _PLAIN = bytes(
     10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else b + 32 if 65 <= b <= 90 else b for b in range(256)
@@ -48,7 +51,10 @@ def stream(text: bytes) -> list[bytes]:
     """The lower-case words of a text with a mark at every end of a piece.
 
     ``bytes.split`` would also end words at the control characters 10 to 13, but those are marks by then.
+    The bytes 0 and 1 are escaped.
     """
+    if b"\x00" in text or b"\x01" in text:
+        text = text.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
     return text.translate(_PLAIN).replace(b"\n", b" . ").split()
 
 
@@ -112,11 +118,15 @@ def dictionary(docs: DataFrame, window: int) -> DataFrame:
     return parts.groupBy("lang", "chunk").agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(chunked: DataFrame, max_words: int) -> DataFrame:
-    """lang, phrase, n: all occurrences of the phrases of up to ``max_words`` words.
+def _unescaped(phrase: Column) -> Column:
+    """The phrase as it stands in the text, words apart by one blank."""
+    for escaped, plain in (("\x00", " "), ("\x01\x01", "\x00"), ("\x01\x02", "\x01")):
+        phrase = F.replace(phrase, F.lit(escaped), F.lit(plain))
+    return phrase
 
-    The empty phrase has the number of all words.
-    """
+
+def _runs(chunked: DataFrame, max_words: int) -> DataFrame:
+    """lang, phrase, n: for each place in a chunk the longest phrase that starts there, counted per task."""
     window = max(1, max_words - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,16 +136,11 @@ def phrase_counts(chunked: DataFrame, max_words: int) -> DataFrame:
                 known, words = counts[lang], chunk.split(b" ")
                 held -= len(known)
                 for i in range(len(words) - window):
-                    phrase = words[i]
-                    if phrase == MARK:
-                        continue
-                    known[b""] += n
-                    known[phrase] += n
-                    for word in words[i + 1 : i + max_words]:
-                        if word == MARK:
-                            break
-                        phrase += b" " + word
-                        known[phrase] += n
+                    longest = words[i : i + max_words]
+                    if MARK in longest:
+                        longest = longest[: longest.index(MARK)]
+                    if longest:
+                        known[GAP.join(longest)] += n
                 held += len(known)
                 if held > HELD:
                     yield _rows(counts, "phrase")
@@ -143,11 +148,80 @@ def phrase_counts(chunked: DataFrame, max_words: int) -> DataFrame:
                     held = 0
         yield _rows(counts, "phrase")
 
-    parts = chunked.select("lang", "chunk", "n").mapInArrow(run, "lang string, phrase binary, n long")
-    return parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
+    return chunked.select("lang", "chunk", "n").mapInArrow(run, "lang string, phrase binary, n long")
+
+
+class _Beginnings:
+    """Sums over sorted phrases: one for each beginning of the phrase that was read last."""
+
+    def __init__(self, min_count: int):
+        self.min_count, self.lang, self.rows = min_count, None, 0
+        self.words: list[bytes] = []
+        self.sums: list[int] = []  # one more than words: the first is that of the language
+        self.at_start: list[bool] = []
+        self.out: Counts = defaultdict(dict)
+
+    def close(self, level: int, at_end: bool = False) -> None:
+        """End the beginnings of ``level`` words and more; the sum of each is part of the next shorter one's.
+
+        Those at either end of the range may go on in the next one, so they are told whatever they add up to.
+        """
+        while len(self.sums) > level:
+            n, told = self.sums.pop(), self.at_start.pop() or at_end
+            if n >= self.min_count or told or not self.words:
+                self.out[self.lang][GAP.join(self.words)] = n
+            if self.words:
+                self.words.pop()
+                self.sums[-1] += n
+
+    def add(self, lang: str, phrase: bytes, n: int) -> None:
+        start, words = not self.rows, phrase.split(GAP)
+        self.rows += 1
+        if lang != self.lang or start:
+            self.close(0)
+            self.lang, self.sums, self.at_start = lang, [0], [start]
+        same = 0
+        for a, b in zip(words, self.words):
+            if a != b:
+                break
+            same += 1
+        self.close(same + 1)
+        for word in words[same:]:
+            self.words.append(word)
+            self.sums.append(0)
+            self.at_start.append(start)
+        self.sums[-1] += n
+
+
+def phrase_counts(chunked: DataFrame, max_words: int, min_count: int = 1) -> DataFrame:
+    """lang, phrase, words, n: the phrases of up to ``max_words`` words with ``min_count`` occurrences or more.
+
+    The empty phrase has the number of all words. Each place is shuffled as one row, by ranges of sorted
+    phrases. There all phrases that begin alike are neighbours, so their beginnings are added up in the same
+    pass, and only frequent phrases and the ends of ranges leave it. A very common first word spans many ranges.
+    """
 
-def _exact(name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Beginnings(min_count)
+        for batch in batches:
+            for lang, phrase, n in zip(*(c.to_pylist() for c in batch.columns)):
+                sums.add(lang, phrase, n)
+            yield _rows(sums.out, "phrase")
+            sums.out.clear()
+        sums.close(0, at_end=True)
+        yield _rows(sums.out, "phrase")
+
+    order = ["lang", "phrase"]
+    ranged = _runs(chunked, max_words).repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = ranged.mapInArrow(run, "lang string, phrase binary, n long")
+    sums = parts.groupBy(*order).agg(F.sum("n").alias("n"))
+    found = sums.where((F.col("n") >= min_count) | (F.length("phrase") == 0))
+    phrase = _unescaped(F.col("phrase").cast("string"))
+    words = F.when(F.length("phrase") == 0, 0).otherwise(F.size(F.split(phrase, " "))).alias("words")
+    return found.select("lang", phrase.alias("phrase"), words, "n")
+
+
+def _exact(name: str) -> Column:
     return F.col(name).cast("decimal(19,0)")
 
 
@@ -169,11 +243,8 @@ def mine_collocations(
     A long text is one stream, cut into chunks; no phrases give no rows. Other columns are ignored.
     """
     window = max(1, max_words - 1)
-    chunked = materialise(dictionary(docs.select("lang", "text"), window))
-    kept = phrase_counts(chunked, max_words).where((F.col("n") >= min_count) | (F.col("phrase") == b""))
-    phrase = F.col("phrase").cast("string")
-    words = F.when(phrase == "", 0).otherwise(F.length(phrase) - F.length(F.replace(phrase, F.lit(" "))) + 1)
-    frequent = materialise(kept.select("lang", phrase.alias("phrase"), words.alias("words"), "n"))
+    chunked = dictionary(docs.select("lang", "text"), window)
+    frequent = materialise(phrase_counts(chunked, max_words, min_count))
     candidates = frequent.where("words >= 2").withColumnRenamed("n", "a")
 
     # Every part of a candidate is as frequent as the candidate, so it is in the table, too.
