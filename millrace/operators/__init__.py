@@ -17,6 +17,7 @@ from millrace.operators.columns import (
 from millrace.operators.counts import concat_group, count_by_suffix, top_k, topk_with_others
 from millrace.operators.evaluate import (
     auc,
+    auc_by_group,
     classification_metrics,
     compare_models,
     fit_and_score,
@@ -24,14 +25,17 @@ from millrace.operators.evaluate import (
     regression_metrics,
 )
 from millrace.operators.features import (
+    apply_string_index,
     assemble,
     feature_names,
     feature_pipeline,
+    fit_string_index,
     index_strings,
     one_hot,
 )
 from millrace.operators.grids import activity_grid
 from millrace.operators.joins import heavy_groups, lookup_join
+from millrace.operators.ledger import Ledger, fingerprint
 from millrace.operators.models import (
     feature_importance,
     fit_gamma,
@@ -41,10 +45,20 @@ from millrace.operators.models import (
     mlp,
     model_params,
     model_pipeline,
+    objective_history,
     random_forest,
+    standardised,
 )
 from millrace.operators.ranking import percent_rank_by, running_start
-from millrace.operators.recommend import als_experiment, fit_als, fit_cells, user_factors
+from millrace.operators.recommend import (
+    als_experiment,
+    fit_als,
+    fit_cells,
+    normal_equations,
+    normal_residuals,
+    solve_factors,
+    user_factors,
+)
 from millrace.operators.segments import (
     assign_segments,
     fit_segments,
@@ -62,7 +76,16 @@ from millrace.operators.splits import (
     time_thresholds,
 )
 from millrace.operators.tandem import TandemModel, fit_tandem, tandem_metrics
-from millrace.operators.tuning import cross_validate, param_grid
+from millrace.operators.trees import (
+    best_splits,
+    boosted_score,
+    forest_score,
+    root_splits,
+    split_gains,
+    tree_leaves,
+    tree_nodes,
+)
+from millrace.operators.tuning import cross_validate, param_grid, with_folds
 from millrace.operators.weblog import (
     log_time_parts,
     parse_access_log,

@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,14 +26,17 @@ def random_forest(
     max_depth: int = 10,
     trees: int = 10,
     feature_subset: str = "all",
+    bootstrap: bool = True,
     seed: int = 42,
 ) -> RandomForestClassifier:
+    """A forest whose trees see rows drawn with replacement, or all rows without ``bootstrap``."""
     return RandomForestClassifier(
         labelCol=label,
         featuresCol=features,
         maxDepth=max_depth,
         numTrees=trees,
         featureSubsetStrategy=feature_subset,
+        bootstrap=bootstrap,
         seed=seed,
     )
 
@@ -78,6 +82,17 @@ def mlp(
     )
 
 
+def standardised(estimator: Estimator) -> Pipeline:
+    """The estimator after a stage that gives each feature mean 0 and deviation 1.
+
+    Mean and deviation are those of the rows that it is fitted on. A perceptron needs it: with features of
+    very different size its solver does not find its way.
+    """
+    features = estimator.getFeaturesCol()
+    scaler = StandardScaler(inputCol=features, outputCol=f"{features}_scaled", withMean=True, withStd=True)
+    return Pipeline(stages=[scaler, estimator.copy().setFeaturesCol(f"{features}_scaled")])
+
+
 def linear_regression(
     label: str, features: str = "features", prediction: str = "prediction"
 ) -> LinearRegression:
@@ -139,6 +154,14 @@ def _last_stage(model: Model) -> Model:
     return model.stages[-1] if isinstance(model, PipelineModel) else model
 
 
+def objective_history(model: Model) -> DataFrame:
+    """iteration (from 0), objective: the training loss of the (last) model after each step of its solver."""
+    summary = _last_stage(model).summary
+    losses = (summary() if callable(summary) else summary).objectiveHistory
+    rows = [(i, float(loss)) for i, loss in enumerate(losses)]
+    return SparkSession.active().createDataFrame(rows, "iteration INT, objective DOUBLE")
+
+
 def feature_importance(model: Model, names: Sequence[str], k: int | None = 3) -> DataFrame:
     """The ``k`` most important features of a tree model: feature, importance; all if None."""
     weights = _last_stage(model).featureImportances.toArray().tolist()

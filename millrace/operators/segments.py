@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -56,20 +58,21 @@ def segment_genres(
     min_rating: float = 4,
     k: int = 5,
     user_id: str = "id",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """The ``k`` most frequent genres among the movies the users rated well: rank, genre, count.
+    """The ``k`` most frequent genres among the movies the users rated well: [by], rank, genre, count.
 
-    Liked ratings are counted per movie before the movies are joined, so that join has one
-    row per movie on either side and a popular movie is no hot key.
+    ``by`` names columns of ``users``, such as the segment of each: all segments are ranked at once. Liked
+    ratings are counted per movie before the movies are joined, so a popular movie is no hot key there.
     """
     liked = ratings.where(F.col("rating") >= min_rating).select("userId", "movieId")
     per_movie = (
-        segment_ratings(users.select(user_id), liked, user_id)
-        .groupBy("movieId")
+        segment_ratings(users.select(user_id, *by), liked, user_id)
+        .groupBy(*by, "movieId")
         .agg(F.count(F.lit(1)).alias("_likes"))
     )
     genres = per_movie.join(movies.select("movieId", "genres"), "movieId").select(
-        F.explode(F.split("genres", "[|]")).alias("genre"), "_likes"
+        *by, F.explode(F.split("genres", "[|]")).alias("genre"), "_likes"
     )
-    counts = genres.groupBy("genre").agg(F.sum("_likes").alias("count"))
-    return top_k(counts, "genre", k).select("rank", "genre", "count")
+    counts = genres.groupBy(*by, "genre").agg(F.sum("_likes").alias("count"))
+    return top_k(counts, "genre", k, by).select(*by, "rank", "genre", "count")

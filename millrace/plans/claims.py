@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import (
+    apply_string_index,
     binary_target,
     column_modes,
+    cross_validate,
     feature_pipeline,
     fit_gamma,
+    fit_string_index,
     fit_tandem,
     gamma_regression,
     gbt,
@@ -23,6 +27,7 @@ from millrace.operators import (
     model_pipeline,
     null_sentinel,
     one_hot,
+    param_grid,
     regression_metrics,
     tandem_metrics,
 )
@@ -121,6 +126,22 @@ def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "string_index_wide",
+    """WITH v AS (
+      SELECT c_name AS value, count(*) AS rows FROM customer GROUP BY c_name),
+    i AS (SELECT *, CAST(row_number() OVER (ORDER BY rows DESC, value) - 1 AS DOUBLE) AS "index" FROM v)
+    SELECT c_custkey, "index", rows FROM customer JOIN i ON c_name = value""",
+)
+def string_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of about as many values as rows, fitted and looked up as a table."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    index = fit_string_index(rows, "c_name")
+    placed = apply_string_index(rows, index, "c_name", out="index", handle_invalid="error")
+    sizes = index.select(F.col("index").cast("double").alias("index"), "rows")
+    return placed.join(sizes, "index").select("c_custkey", "index", "rows")
+
+
 @query(
     "one_hot",
     """WITH i AS (
@@ -208,6 +229,30 @@ def linear_group_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted_by_make(model.transform(rows))
 
 
+@query(
+    "cv_group_means",
+    f"""WITH {CLAIMS_SQL},
+    p AS (SELECT Blind_Make, Claim_Amount, CAST(floor({bucket_sql(42, "Row_ID")} * 5) AS INTEGER) AS fold
+          FROM claims WHERE Claim_Amount > 0),
+    s AS (SELECT Blind_Make, fold, sum(Claim_Amount) AS total, count(*) AS n FROM p GROUP BY ALL),
+    m AS (SELECT a.Blind_Make, f.fold, sum(a.total) / sum(a.n) AS pred
+          FROM s a, (SELECT DISTINCT fold FROM s) f WHERE a.fold <> f.fold GROUP BY ALL),
+    e AS (SELECT fold, sqrt(avg((Claim_Amount - pred) * (Claim_Amount - pred))) AS rmse
+          FROM p JOIN m USING (Blind_Make, fold) GROUP BY fold)
+    SELECT '{{}}' AS params, round(avg(rmse), 5) AS metric, round(stddev_pop(rmse), 5) AS spread, TRUE AS best
+    FROM e""",
+)
+def cv_group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validation of a regression on groups, whose fits are the groups' means in the other folds."""
+    rows = claims(spark, sf_dir).where("Claim_Amount > 0").select("Row_ID", "Blind_Make", "Claim_Amount")
+    rows = one_hot(index_strings(rows, ["Blind_Make"], handle_invalid="error"), ["Blind_Make"])
+    linear = linear_regression("Claim_Amount")
+    evaluator = RegressionEvaluator(labelCol="Claim_Amount", metricName="rmse")
+    train = assemble(rows, ["Blind_Make_vec"])
+    _, scores = cross_validate(train, linear, param_grid(linear, {}), evaluator, "Row_ID", folds=5, seed=42)
+    return scores.select("params", *[F.round(c, 5).alias(c) for c in ("metric", "spread")], "best")
+
+
 @query("gamma_group_fit", _GROUP_FIT_SQL)
 def gamma_group_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assemble(_positive_by_make(spark, sf_dir), ["Blind_Make_vec"])

@@ -5,25 +5,35 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
+from pyspark.sql.window import Window
 
 from millrace.operators import (
     assemble,
+    auc_by_group,
+    best_splits,
+    boosted_score,
     cast_by_type,
     classification_metrics,
     compare_models,
     cross_validate,
     feature_importance,
+    forest_score,
     gbt,
     hard_auc_evaluator,
     hash_split,
     mlp,
     model_params,
+    objective_history,
     param_grid,
     random_forest,
+    root_splits,
     split_columns,
+    standardised,
+    tree_leaves,
+    tree_nodes,
 )
 from millrace.operators.evaluate import auc
 from millrace.operators.models import fit
@@ -96,37 +106,128 @@ def auc_of_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(round(auc(scored, "y", "score"), 6),)], "auc DOUBLE")
 
 
-def _score_checks(model, test: DataFrame) -> DataFrame:
+@query(
+    "auc_by_hour",
+    """WITH s AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y,
+                         round(value) AS score FROM events),
+    ties AS (SELECT hour, score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY hour, score),
+    cum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY hour ORDER BY score
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ties)
+    SELECT hour, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+           round(CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / nullif(2 * sum(pos) * sum(neg), 0), 9) AS auc
+    FROM cum GROUP BY hour""",
+)
+def auc_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = table(spark, sf_dir, "events").select(
+        F.hour("ts").alias("hour"), (F.col("event_type") == "purchase").cast("int").alias("y"),
+        F.round("value").alias("score"),
+    )
+    areas = auc_by_group(scored, "y", "score", by=["hour"])
+    return areas.select("hour", "positives", "negatives", F.round("auc", 9).alias("auc"))
+
+
+_LEVELS = [f"level_{i}" for i in range(len(HIGGS_FEATURES))]
+_SPLITS_SQL = f"""train AS (
+      SELECT CASE WHEN label >= 5 THEN 1 ELSE 0 END AS y, embedding FROM embeddings
+      WHERE {bucket_sql(42, 'vec_id')} < 0.7),
+    x AS (SELECT y, unnest(range({len(HIGGS_FEATURES)})) AS f, unnest(list_transform(embedding[1:{len(HIGGS_FEATURES)}],
+            lambda e: CAST(round(10 * CAST(CAST(e AS VARCHAR) AS DOUBLE)) AS INTEGER))) AS v FROM train),
+    cells AS (SELECT f, v, count(*) AS n, sum(y) AS p FROM x GROUP BY f, v),
+    cum AS (SELECT f, (v + lead(v) OVER w) / 2.0 AS threshold, sum(n) OVER w AS l, sum(p) OVER w AS lp,
+                   sum(n) OVER (PARTITION BY f) AS n, sum(p) OVER (PARTITION BY f) AS p
+            FROM cells WINDOW w AS (PARTITION BY f ORDER BY v)),
+    gains AS (SELECT 'level_' || f AS feature, CAST(threshold AS DOUBLE) AS threshold, CAST(l AS BIGINT) AS left_rows,
+                     2 * (p / n) * (1 - p / n) - l / n * 2 * (lp / l) * (1 - lp / l)
+                     - (n - l) / n * 2 * ((p - lp) / (n - l)) * (1 - (p - lp) / (n - l)) AS gain
+              FROM cum WHERE threshold IS NOT NULL)"""
+
+
+def _levels_split(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """70/30 train and test of the records with each number rounded to tenths: few values per feature."""
+    rounded = [F.round(F.col(f) * 10).cast("int").alias(n) for f, n in zip(HIGGS_FEATURES, _LEVELS)]
+    rows = records(spark, sf_dir).select("vec_id", HIGGS_LABEL, *rounded)
+    return hash_split(rows, "vec_id", [0.7, 0.3], seed=42)
+
+
+@query(
+    "split_search",
+    f"""WITH {_SPLITS_SQL}
+    SELECT feature, threshold, left_rows, round(gain, 9) AS gain FROM gains
+    ORDER BY gains.gain DESC, feature, threshold LIMIT 10""",
+)
+def split_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best first splits by histograms of all features."""
+    train, _ = _levels_split(spark, sf_dir)
+    best = best_splits(train, _LEVELS, HIGGS_LABEL, k=10, bins=None)
+    return best.select("feature", "threshold", "left_rows", F.round("gain", 9).alias("gain"))
+
+
+@query(
+    "tree_root_splits",
+    f"""WITH {_SPLITS_SQL}, best AS (SELECT * FROM gains ORDER BY gain DESC, feature, threshold LIMIT 1)
+    SELECT 'forest' AS model, feature, threshold, round(gain, 6) AS gain FROM best
+    UNION ALL SELECT 'gbt', feature, threshold, round(2 * gain, 6) FROM best""",
+)
+def tree_root_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first split of a fitted tree, and of the first boosted one, whose impurity is twice the Gini one."""
+    train, _ = _levels_split(spark, sf_dir)
+    train = assemble(train, _LEVELS).select("features", HIGGS_LABEL)
+    models = {
+        "forest": random_forest(HIGGS_LABEL, max_depth=5, trees=1, bootstrap=False),
+        "gbt": gbt(HIGGS_LABEL, max_depth=2, max_iter=2, max_bins=32),
+    }
+    parts = []
+    for name, estimator in models.items():
+        roots = root_splits(tree_nodes(fit(estimator, train)), _LEVELS).where("tree = 0")
+        parts.append(roots.select(F.lit(name).alias("model"), "feature", "threshold", F.round("gain", 6).alias("gain")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _score_checks(scored: DataFrame, *more: Column) -> DataFrame:
     """rows, and whether every row has a class and probabilities that agree with it."""
     p = vector_to_array("probability")
-    return model.transform(test).agg(
+    return scored.agg(
         F.count(F.lit(1)).alias("rows"),
         F.every(F.col("prediction").isin(0.0, 1.0)).alias("classes_ok"),
         F.every(F.abs(F.get(p, 0) + F.get(p, 1) - 1) < 1e-6).alias("probabilities_ok"),
         F.every(F.get(p, F.col("prediction").cast("int")) >= 0.5 - 1e-9).alias("class_is_likeliest"),
+        *more,
     )
 
 
+def _tree_checks(model, test: DataFrame, score) -> DataFrame:
+    """The same, and whether the table of the model's nodes gives every row the model's score."""
+    told = score(tree_leaves(test, tree_nodes(model), "vec_id"), "vec_id")
+    scored = model.transform(test).join(told, "vec_id", "left")
+    gap = F.abs(F.get(vector_to_array("probability"), 1) - F.col("score"))
+    return _score_checks(scored, F.every(F.coalesce(gap < 1e-9, F.lit(False))).alias("same_from_nodes"))
+
+
 _SCORE_SQL = f"""SELECT {_TEST_ROWS} AS rows, TRUE AS classes_ok, TRUE AS probabilities_ok,
     TRUE AS class_is_likeliest"""
+_TREE_SQL = f"{_SCORE_SQL}, TRUE AS same_from_nodes"
 
 
-@query("forest_scores", _SCORE_SQL)
+@query("forest_scores", _TREE_SQL)
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = assembled_split(spark, sf_dir)
-    return _score_checks(fit(random_forest(HIGGS_LABEL), train), test)
+    return _tree_checks(fit(random_forest(HIGGS_LABEL), train), test, forest_score)
 
 
-@query("gbt_scores", _SCORE_SQL)
+@query("gbt_scores", _TREE_SQL)
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = assembled_split(spark, sf_dir)
-    return _score_checks(fit(gbt(HIGGS_LABEL), train), test)
+    return _tree_checks(fit(gbt(HIGGS_LABEL), train), test, boosted_score)
 
 
-@query("mlp_scores", _SCORE_SQL)
+@query("mlp_scores", f"{_SCORE_SQL}, TRUE AS objective_never_rises")
 def mlp_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = assembled_split(spark, sf_dir)
-    return _score_checks(fit(mlp(HIGGS_LABEL, len(HIGGS_FEATURES)), train), test)
+    model = fit(standardised(mlp(HIGGS_LABEL, len(HIGGS_FEATURES))), train)
+    before = F.lag("objective").over(Window.orderBy("iteration"))
+    steps = objective_history(model).withColumn("rises", F.col("objective") > before + 1e-12)
+    falls = not steps.where("rises").count() and steps.count() > 1
+    return _score_checks(model.transform(test), F.lit(falls).alias("objective_never_rises"))
 
 
 @query(
@@ -194,7 +295,7 @@ def cv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = assembled_split(spark, sf_dir)
     forest = random_forest(HIGGS_LABEL, trees=5)
     grid = param_grid(forest, {"maxDepth": [2, 5], "featureSubsetStrategy": ["all", "sqrt"]})
-    _, scores = cross_validate(train, forest, grid, hard_auc_evaluator(HIGGS_LABEL), folds=3)
+    _, scores = cross_validate(train, forest, grid, hard_auc_evaluator(HIGGS_LABEL), "vec_id", folds=3)
     return scores.agg(
         F.count_distinct("params").alias("points"),
         F.count_if("best").alias("best"),
@@ -213,7 +314,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     estimators = {
         "forest": random_forest(HIGGS_LABEL),
         "gbt": gbt(HIGGS_LABEL),
-        "mlp": mlp(HIGGS_LABEL, len(HIGGS_FEATURES)),
+        "mlp": standardised(mlp(HIGGS_LABEL, len(HIGGS_FEATURES))),
     }
     table_ = compare_models(train, test, estimators, HIGGS_LABEL)
     bounded = reduce(

@@ -18,10 +18,13 @@ from millrace.operators import (
     largest_segments,
     lookup_join,
     members_of_largest,
+    normal_equations,
+    normal_residuals,
     percent_rank_by,
     regression_metrics,
     segment_genres,
     segment_ratings,
+    solve_factors,
     time_split,
     time_splits,
     user_factors,
@@ -142,18 +145,22 @@ def liked_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.groupBy("user", "movie", "percent").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def _five_segments(rows: DataFrame) -> DataFrame:
+    """Every user of the ratings with one of five segments: id, segment."""
+    users = rows.select(F.col("userId").alias("id")).distinct()
+    return users.withColumn("segment", F.col("id") % 5)
+
+
 @query(
     "segment_rating_counts",
     f"""WITH {RATINGS_SQL}
     SELECT userId, count(*) AS rows, CAST(sum(rating) AS DOUBLE) AS total,
            CAST(userId % 5 AS INTEGER) AS segment
-    FROM ratings WHERE userId % 5 < 2 GROUP BY userId""",
+    FROM ratings GROUP BY userId""",
 )
 def segment_rating_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ratings(spark, sf_dir)
-    users = rows.where("userId % 5 < 2").select(F.col("userId").alias("id")).distinct()
-    users = users.withColumn("segment", F.col("id") % 5)
-    return segment_ratings(users, rows).groupBy("userId", "segment").agg(
+    return segment_ratings(_five_segments(rows), rows).groupBy("userId", "segment").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("rating").alias("total")
     )
 
@@ -161,16 +168,16 @@ def segment_rating_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "segment_genres",
     f"""WITH {RATINGS_SQL}
-    SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, genre) AS INTEGER) AS rank, genre,
-           count(*) AS "count"
-    FROM (SELECT unnest(string_split(genres, '|')) AS genre
-          FROM ratings JOIN movies USING (movieId) WHERE rating >= 4 AND userId % 5 = 0)
-    GROUP BY genre ORDER BY count(*) DESC, genre LIMIT 5""",
+    SELECT CAST(userId % 5 AS INTEGER) AS segment,
+           CAST(row_number() OVER (PARTITION BY userId % 5 ORDER BY count(*) DESC, genre) AS INTEGER)
+             AS rank, genre, count(*) AS "count"
+    FROM (SELECT userId, unnest(string_split(genres, '|')) AS genre
+          FROM ratings JOIN movies USING (movieId) WHERE rating >= 4)
+    GROUP BY userId % 5, genre QUALIFY rank <= 5""",
 )
 def segment_genres_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ratings(spark, sf_dir)
-    users = rows.where("userId % 5 = 0").select(F.col("userId").alias("id")).distinct()
-    return segment_genres(users, rows, movies(spark, sf_dir))
+    return segment_genres(_five_segments(rows), rows, movies(spark, sf_dir), by=["segment"])
 
 
 @query(
@@ -199,15 +206,29 @@ def largest_segments_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "als_coverage",
     f"""WITH {RATINGS_SQL},
     train AS (SELECT * FROM ranked WHERE pr <= 0.8)
-    SELECT count(*) AS rows, TRUE AS finite FROM ranked
-    WHERE pr > 0.8 AND userId IN (SELECT userId FROM train)
+    SELECT count(*) AS rows, TRUE AS finite,
+           (SELECT count(DISTINCT userId) FROM train) AS solved_users,
+           (SELECT count(DISTINCT userId) FROM train) AS refitted_users
+    FROM ranked WHERE pr > 0.8 AND userId IN (SELECT userId FROM train)
       AND movieId IN (SELECT movieId FROM train)""",
 )
 def als_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a fit can score, and that its users' factors solve their normal equations given the items'."""
     train, test = time_split(landed(spark, sf_dir, "userId", "movieId", "rating", "ts"), "ts", 0.8)
-    scored = fit_als(train, seed=42).transform(test)
+    model = fit_als(train, reg=0.1, seed=42)
+    equations = materialise(normal_equations(train, model.itemFactors))
+    residuals = normal_residuals(equations, model.userFactors, reg=0.1)
+    solved = residuals.where("residual < 1e-4").count()
+    # Solved anew from the items alone, as for users that the model has not seen.
+    again = solve_factors(equations, reg=0.1).withColumnRenamed("features", "again")
+    gaps = F.array_max(F.transform(F.arrays_zip("features", "again"), lambda p: F.abs(p["features"] - p["again"])))
+    size = F.array_max(F.transform("features", F.abs))
+    same = model.userFactors.join(again, "id").where(gaps <= 1e-3 * (size + 1)).count()
     finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
-    return scored.agg(F.count(F.lit(1)).alias("rows"), F.every(finite).alias("finite"))
+    return model.transform(test).agg(
+        F.count(F.lit(1)).alias("rows"), F.every(finite).alias("finite"),
+        F.lit(solved).cast("long").alias("solved_users"), F.lit(same).cast("long").alias("refitted_users"),
+    )
 
 
 @query(

@@ -156,7 +156,7 @@ def collision_study(
     for name, values in grids.items():
         grid = param_grid(estimators[name], values)
         evaluator = hard_auc_evaluator(HIGGS_LABEL)
-        model, table = cross_validate(small_train, estimators[name], grid, evaluator, folds, seed)
+        model, table = cross_validate(small_train, estimators[name], grid, evaluator, "line_id", folds, seed)
         best[name] = estimators[name].copy(grid[model.avgMetrics.index(max(model.avgMetrics))])
         searches.append(table.select(F.lit(name).alias("model"), "*"))
     models, comparison = fit_and_score(train, test, best, HIGGS_LABEL)

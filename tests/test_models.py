@@ -148,7 +148,7 @@ def test_grid_sizes():
 def test_cross_validation_picks_the_best(points):
     tree = random_forest("y", trees=2)
     grid = param_grid(tree, {"maxDepth": [1, 6]})
-    model, table = cross_validate(points, tree, grid, hard_auc_evaluator("y"), folds=2)
+    model, table = cross_validate(points, tree, grid, hard_auc_evaluator("y"), "id", folds=2)
     by_depth = {json.loads(r["params"])["maxDepth"]: r for r in table.collect()}
     assert set(by_depth) == {1, 6}
     assert by_depth[6]["best"] and not by_depth[1]["best"]
