@@ -8,7 +8,7 @@ joined back to every path from the ledger.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,8 @@ from millrace.operators import lookup_join
 from millrace.sources import materialise
 
 _FINDINGS = "array<struct<rule: string, start: int, end: int>>"
+#: Matches of a text that are gathered at a time.
+BLOCK = 256
 LEDGER_SCHEMA = f"blob string, rules array<string>, findings {_FINDINGS}"
 
 
@@ -63,18 +65,47 @@ def match_spans(text: Column, rule: Rule) -> Column:
         F.zip_with(found, checked, lambda m, g: F.struct(F.length(m).alias("size"), F.length(g).alias("checked"))),
         lambda gap, m: F.struct(F.length(gap).alias("gap"), m["size"].alias("size"), m["checked"].alias("checked")),
     )
+    none = F.array().cast("array<struct<start: int, end: int>>")
+    return F.when(F.regexp_like(text, pattern), _running_spans(steps, rule.least)).otherwise(none)
+
+
+def _running_spans(steps: Column, least: int) -> Column:
+    """The spans of the steps (gap, size, checked) whose ``checked`` is ``least`` or more.
+
+    An array that grows is copied with each element, so the steps are cut into blocks of :data:`BLOCK`:
+    the blocks' lengths give where each begins, and spans are gathered block by block.
+    """
     kind = "array<struct<start: int, end: int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+    def length(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda at, s: at + s["gap"] + s["size"])
+
+    def starts(blocks: Column) -> Column:
+        zero = F.array(F.lit(0))
+        upto = F.aggregate(blocks, zero, lambda at, b: F.concat(at, F.array(F.element_at(at, -1) + length(b))))
+        return F.slice(upto, F.lit(1), F.size(blocks))
 
     def step(acc: Column, s: Column) -> Column:
         begin = acc["at"] + s["gap"]
         end = begin + s["size"]
         span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        kept = F.when(s["checked"] >= rule.least, F.concat(acc["out"], span)).otherwise(acc["out"])
+        kept = F.when(s["checked"] >= least, F.concat(acc["out"], span)).otherwise(acc["out"])
         return F.struct(end.alias("at"), kept.alias("out"))
 
-    spans = F.aggregate(steps, start, step, lambda acc: acc["out"])
-    return F.when(F.regexp_like(text, pattern), spans).otherwise(F.array().cast(kind))
+    def spans(block: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(block, first, step, lambda acc: acc["out"])
+
+    def blocks(steps: Column) -> Column:
+        last = F.greatest(F.floor((F.size(steps) - 1) / BLOCK), F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(steps, i * BLOCK + 1, F.lit(BLOCK)))
+
+    return _once(_once(steps, blocks), lambda b: F.flatten(F.zip_with(b, starts(b), spans)))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _with_blob(versions: DataFrame, text: str) -> DataFrame:
@@ -126,8 +157,13 @@ def find_secrets(
 
     Returns ``paths``, blob and findings (rule, start, end; by start, then in the order of ``rules``), one row
     per row of ``versions``. The ledger is created if there is none.
-    Versions without secrets have an empty list.
+    Versions without secrets have an empty list, as have null and empty texts. Repeated versions are rows like
+    any other; ledger rows that are there twice change nothing. Very long texts take time in proportion to their
+    length and matches. An empty table gives an empty one; further columns are ignored, whatever their names,
+    except that a path may not be called ``blob``, which is refused.
     """
+    if "blob" in paths:
+        raise ValueError("blob is the name of a result column; rename the path")
     spark = versions.sparkSession
     # An empty append makes the ledger exist, whatever store it is in.
     kinds = [c.split(" ", 1) for c in ("blob string", "rules array<string>", f"findings {_FINDINGS}")]
@@ -147,7 +183,9 @@ def find_secrets(
             f["start"].alias("start"), F.array_position(names, f["rule"]).alias("kind"), f.alias("finding")
         ),
     )
-    ordered = F.transform(F.array_sort(order), lambda o: o["finding"])
+    # A scan that was appended twice, by overlapping runs or a retry, changes nothing.
+    single = _once(F.array_sort(order), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1))))
+    ordered = F.transform(single, lambda o: o["finding"])
     merged = materialise(merged.select("blob", ordered.alias("findings")))
     return lookup_join(_with_blob(versions, text).select(*paths, "blob"), merged, ["blob"])
 
