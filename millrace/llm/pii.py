@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources import materialise
+
 #: Kinds in the order of reports; label 0 is none of them.
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 LABELS = NONE + 1
-#: Documents with found data that a fit uses at most, by hash order.
-FIT_ROWS = 4_000
 #: Prior of each kind for a token that no pattern finds, and its weight against counts.
 PRIOR, PRIOR_WEIGHT = 0.04, 5.0
 #: Digits that make two numbers similar if they end in them.
@@ -269,16 +269,20 @@ def _count(rows: DataFrame) -> DataFrame:
     return parts.groupBy("factor", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def fit_skip_chain(docs: DataFrame, fit_rows: int = FIT_ROWS, most_shapes: int = 10_000) -> SkipChain:
-    """Fit the factors on documents (text) in which the patterns find something.
+def fit_skip_chain(docs: DataFrame, most_shapes: int = 10_000) -> SkipChain:
+    """Fit the factors on all documents (text) in which the patterns find something.
 
-    At most about ``fit_rows`` rows are used, drawn by the hash of their text, and the ``most_shapes`` commonest
-    shapes. Without any row, similar tokens are simply taken to be alike.
+    All neighbours and similar tokens count, and the labels of the ``most_shapes`` commonest shapes, which bounds
+    the model that travels to the tasks; a rarer shape has the prior of unknown ones. Without any row, similar
+    tokens are simply taken to be alike.
     """
     likely = docs.select("text").where(F.col("text").rlike(r"[0-9]{4}|@|\+[0-9]"))
-    share = min(1.0, fit_rows / max(1, likely.count()))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
-    counts = _count(likely.where(draw)).orderBy(F.desc("n"), "factor", "a", "b").limit(LABELS * most_shapes)
+    counted = materialise(_count(likely))
+    # A row per pair of labels, and one per label of a shape.
+    common = counted.where("factor = 'shape'").groupBy("a").agg(F.sum("n").alias("total"))
+    common = common.orderBy(F.desc("total"), "a").limit(most_shapes)
+    shape_counts = counted.join(F.broadcast(common.select("a")), "a", "left_semi").where("factor = 'shape'")
+    counts = shape_counts.unionByName(counted.where("factor <> 'shape'"))
     prior = np.array([PRIOR] * NONE + [1 - NONE * PRIOR])
     shapes: dict[str, np.ndarray] = {}
     pairs = {n: np.full((LABELS, LABELS), 0.5) + 2.0 * np.eye(LABELS) for n in ("chain", "skip")}
