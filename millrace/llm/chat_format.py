@@ -1,8 +1,8 @@
 """Chat formatting by a finite-state machine over roles. DataFrame functions only.
 
-The machine's state is the role just read, so its verdict on a turn needs only the turn before: the rows
-of a long conversation are never gathered to validate or format them. A turn becomes segments
-with a loss flag each. Inside roles and texts, ``<|`` gets a backslash between its characters
+The machine's state is the role just read, so its verdict on a turn needs only the turn before. The turns
+of a conversation are sorted in one task, texts included, as they become one training text. A turn becomes
+segments with a loss flag each. Inside roles and texts, ``<|`` gets a backslash between its characters
 (and ``<\\|`` one more), so that control strings only occur where the template puts them.
 """
 
@@ -63,7 +63,7 @@ def format_turns(conversations: DataFrame, template: Template = CHAT) -> DataFra
 
     Turns are in the order of turn, role and text, nulls first, so repeated or tied turns have
     a fixed order. A null role or text counts as empty; a null conv_id is a conversation. ``allowed`` is the machine's
-    verdict on the turn, and for the last turn also on ending there.
+    verdict on the turn, and for the last turn also on ending there. No turns give no rows. Other columns are ignored.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     turns = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
