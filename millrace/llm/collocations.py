@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +32,14 @@ from millrace.sources import materialise
 
 #: A chunk has about so many words.
 CHUNK_WORDS = 16
-#: Counts that a task holds before it passes them on.
+#: Counts, and bytes of them, that a task holds before it passes them on.
 HELD = 400_000
+HELD_BYTES = 64 << 20
+#: Rows in a batch that a task passes on.
+BATCH = 10_000
 #: The mark between pieces; it ends pieces, so no word is like it.
 MARK = b"."
-#: Between the words of a phrase while phrases are sorted: below all bytes of (escaped) words, so that
+#: Between the language and the words of a phrase while they are sorted. No (escaped) word has it, so
 #: all phrases with the same first words are neighbours.
 GAP = b"\x00"
 #: A-Z in lower case, ends of pieces as line feeds, other bytes as they are.
@@ -84,13 +88,13 @@ def chunks(words: list[bytes], window: int, hashes: dict[bytes, int], size: int
         yield b" ".join(words[start : end + window])
 
 
-def _rows(counts: Counts, name: str) -> pa.RecordBatch:
+def _rows(counts: Counts) -> pa.RecordBatch:
     langs = [lang for lang, held in counts.items() for _ in held]
     keys = [key for held in counts.values() for key in held]
     numbers = [n for held in counts.values() for n in held.values()]
     return pa.RecordBatch.from_arrays(
         [pa.array(langs, pa.string()), pa.array(keys, pa.binary()), pa.array(numbers, pa.int64())],
-        names=["lang", name, "n"],
+        names=["lang", "chunk", "n"],
     )
 
 
@@ -107,10 +111,10 @@ def dictionary(docs: DataFrame, window: int) -> DataFrame:
                     known[chunk] += 1
                 held += len(known)
                 if held > HELD // 4:  # a chunk takes more room than a phrase
-                    yield _rows(counts, "chunk")
+                    yield _rows(counts)
                     counts.clear()
                     held = 0
-        yield _rows(counts, "chunk")
+        yield _rows(counts)
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
@@ -119,106 +123,168 @@ def dictionary(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _unescaped(phrase: Column) -> Column:
-    """The phrase as it stands in the text, words apart by one blank."""
-    for escaped, plain in (("\x00", " "), ("\x01\x01", "\x00"), ("\x01\x02", "\x01")):
+    """The words as they stand in the text."""
+    for escaped, plain in (("\x01\x01", "\x00"), ("\x01\x02", "\x01")):
         phrase = F.replace(phrase, F.lit(escaped), F.lit(plain))
     return phrase
 
 
-def _runs(chunked: DataFrame, max_words: int) -> DataFrame:
-    """lang, phrase, n: for each place in a chunk the longest phrase that starts there, counted per task."""
+def _joined(parts: list[pa.Array]) -> pa.Array:
+    return pc.binary_join_element_wise(*parts, pa.scalar(GAP, pa.binary()))
+
+
+def _places(langs: pa.Array, chunked: pa.Array, counts: np.ndarray, max_words: int) -> pa.Table:
+    """key, n: one row for each word in the chunks that is not in a chunk's last window.
+
+    A key is the language, the word and the words after it in its piece, ``max_words`` in all; where
+    the piece ends before, the rest is empty.
+    """
     window = max(1, max_words - 1)
+    split = pc.split_pattern(chunked, " ")
+    ends = np.diff(split.offsets.to_numpy()).cumsum()
+    words = split.flatten()
+    is_mark = pc.equal(words, pa.scalar(MARK, pa.binary())).to_numpy(zero_copy_only=False)
+    own = ~is_mark
+    for back in range(1, window + 1):
+        own[ends - back] = False
+    at = np.flatnonzero(own)
+    chunk = np.searchsorted(ends, at, side="right")
+    nothing = len(words)
+    words = pa.concat_arrays([words, pa.array([b""], pa.binary())])
+    parts, ended = [langs.take(pa.array(chunk)), words.take(pa.array(at))], np.zeros(len(at), bool)
+    for k in range(1, max_words):
+        ended |= is_mark[np.where(ended, 0, at + k)]
+        parts.append(words.take(pa.array(np.where(ended, nothing, at + k))))
+    return pa.table({"key": _joined(parts), "n": pa.array(counts[chunk])})
+
+
+def _pieces_of(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of chunks."""
+    ends = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _runs(chunked: DataFrame, max_words: int) -> DataFrame:
+    """key, n: for each place in a chunk the longest phrase that starts there, after its language.
+
+    Equal keys are added up as far as a task holds them at a time.
+    """
+
+    def summed(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        sums = pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
+        yield from sums.rename_columns(["key", "n"]).to_batches(max_chunksize=BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held = defaultdict(lambda: defaultdict(int)), 0
+        held, rows, size = [], 0, 0
         for batch in batches:
-            for lang, chunk, n in zip(*(c.to_pylist() for c in batch.columns)):
-                known, words = counts[lang], chunk.split(b" ")
-                held -= len(known)
-                for i in range(len(words) - window):
-                    longest = words[i : i + max_words]
-                    if MARK in longest:
-                        longest = longest[: longest.index(MARK)]
-                    if longest:
-                        known[GAP.join(longest)] += n
-                held += len(known)
-                if held > HELD:
-                    yield _rows(counts, "phrase")
-                    counts.clear()
-                    held = 0
-        yield _rows(counts, "phrase")
+            for part in _pieces_of(batch, HELD_BYTES // 16):
+                counts = part.column(2).to_numpy(zero_copy_only=False)
+                held.append(_places(part.column(0), part.column(1), counts, max_words))
+                rows, size = rows + held[-1].num_rows, size + held[-1].nbytes
+                if rows > HELD or size > HELD_BYTES:
+                    yield from summed(held)
+                    held, rows, size = [], 0, 0
+        if held:
+            yield from summed(held)
 
-    return chunked.select("lang", "chunk", "n").mapInArrow(run, "lang string, phrase binary, n long")
+    lang = F.replace(F.replace("lang", F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01"))
+    return chunked.select(lang.cast("binary").alias("lang"), "chunk", "n").mapInArrow(run, "key binary, n long")
 
 
 class _Beginnings:
-    """Sums over sorted phrases: one for each beginning of the phrase that was read last."""
-
-    def __init__(self, min_count: int):
-        self.min_count, self.lang, self.rows = min_count, None, 0
-        self.words: list[bytes] = []
-        self.sums: list[int] = []  # one more than words: the first is that of the language
-        self.at_start: list[bool] = []
-        self.out: Counts = defaultdict(dict)
-
-    def close(self, level: int, at_end: bool = False) -> None:
-        """End the beginnings of ``level`` words and more; the sum of each is part of the next shorter one's.
-
-        Those at either end of the range may go on in the next one, so they are told whatever they add up to.
-        """
-        while len(self.sums) > level:
-            n, told = self.sums.pop(), self.at_start.pop() or at_end
-            if n >= self.min_count or told or not self.words:
-                self.out[self.lang][GAP.join(self.words)] = n
-            if self.words:
-                self.words.pop()
-                self.sums[-1] += n
-
-    def add(self, lang: str, phrase: bytes, n: int) -> None:
-        start, words = not self.rows, phrase.split(GAP)
-        self.rows += 1
-        if lang != self.lang or start:
-            self.close(0)
-            self.lang, self.sums, self.at_start = lang, [0], [start]
-        same = 0
-        for a, b in zip(words, self.words):
-            if a != b:
-                break
-            same += 1
-        self.close(same + 1)
-        for word in words[same:]:
-            self.words.append(word)
-            self.sums.append(0)
-            self.at_start.append(start)
-        self.sums[-1] += n
+    """Sums over sorted keys of ``parts`` parts, for all beginnings of keys at once.
+
+    Beginnings at either end of the range may go on in the next one, so they are told whatever they add up
+    to, as is the number of all words of a language.
+    """
+
+    def __init__(self, parts: int, min_count: int):
+        self.parts, self.min_count, self.first = parts, min_count, True
+        #: The open beginning of each level (words in it): its parts, its sum, and if the range starts with it.
+        self.open: list[tuple[list[bytes], int, bool] | None] = [None] * parts
+
+    def _told(self, level: int, parts: list[pa.Array], sums: np.ndarray, at_end: np.ndarray) -> pa.Table:
+        told = (sums >= self.min_count) | at_end
+        if level:
+            # An empty part is no word: the phrase is shorter and has been told at its own level.
+            told &= pc.binary_length(parts[level]).to_numpy(zero_copy_only=False) > 0
+        else:
+            told[:] = True
+        at = pa.array(np.flatnonzero(told))
+        return pa.table({"key": _joined([p.take(at) for p in parts[: level + 1]]), "n": pa.array(sums[told])})
+
+    def _close(self, level: int, at_end: bool = False) -> list[pa.Table]:
+        if self.open[level] is None:
+            return []
+        words, total, at_start = self.open[level]
+        parts = [pa.array([w], pa.binary()) for w in words]
+        return [self._told(level, parts, np.array([total]), np.array([at_start or at_end]))]
+
+    def add(self, keys: pa.Array, counts: np.ndarray) -> list[pa.Table]:
+        """Take the next sorted rows; the beginnings that end with them."""
+        out, rows = [], len(keys)
+        if not rows:
+            return out
+        flat = pc.split_pattern(keys, "\x00").flatten()
+        parts = [flat.take(pa.array(np.arange(i, rows * self.parts, self.parts))) for i in range(self.parts)]
+        new, first = np.zeros(rows, bool), [p[0].as_py() for p in parts]
+        new[0] = True
+        for level in range(self.parts):
+            part = parts[level]
+            new[1:] |= pc.not_equal(part[1:], part[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(new)
+            sums = np.add.reduceat(counts, starts)
+            at_start = np.zeros(len(starts), bool)
+            if self.open[level] is not None and self.open[level][0] == first[: level + 1]:
+                sums[0] += self.open[level][1]
+                at_start[0] = self.open[level][2]
+            else:
+                out += self._close(level)
+                at_start[0] = self.first
+            last = [p[int(starts[-1])].as_py() for p in parts[: level + 1]]
+            self.open[level] = last, int(sums[-1]), bool(at_start[-1])
+            if len(starts) > 1:
+                ended = pa.array(starts[:-1])
+                own = [p.take(ended) for p in parts[: level + 1]]
+                out.append(self._told(level, own, sums[:-1], at_start[:-1]))
+        self.first = False
+        return out
+
+    def end(self) -> list[pa.Table]:
+        return [table for level in range(self.parts) for table in self._close(level, at_end=True)]
 
 
 def phrase_counts(chunked: DataFrame, max_words: int, min_count: int = 1) -> DataFrame:
     """lang, phrase, words, n: the phrases of up to ``max_words`` words with ``min_count`` occurrences or more.
 
     The empty phrase has the number of all words. Each place is shuffled as one row, by ranges of sorted
-    phrases. There all phrases that begin alike are neighbours, so their beginnings are added up in the same
+    keys. There all phrases that begin alike are neighbours, so their beginnings are added up in the same
     pass, and only frequent phrases and the ends of ranges leave it. A very common first word spans many ranges.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Beginnings(min_count)
+        sums = _Beginnings(max_words + 1, min_count)
         for batch in batches:
-            for lang, phrase, n in zip(*(c.to_pylist() for c in batch.columns)):
-                sums.add(lang, phrase, n)
-            yield _rows(sums.out, "phrase")
-            sums.out.clear()
-        sums.close(0, at_end=True)
-        yield _rows(sums.out, "phrase")
-
-    order = ["lang", "phrase"]
-    ranged = _runs(chunked, max_words).repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = ranged.mapInArrow(run, "lang string, phrase binary, n long")
-    sums = parts.groupBy(*order).agg(F.sum("n").alias("n"))
-    found = sums.where((F.col("n") >= min_count) | (F.length("phrase") == 0))
-    phrase = _unescaped(F.col("phrase").cast("string"))
-    words = F.when(F.length("phrase") == 0, 0).otherwise(F.size(F.split(phrase, " "))).alias("words")
-    return found.select("lang", phrase.alias("phrase"), words, "n")
+            for table in sums.add(batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)):
+                yield from table.to_batches()
+        for table in sums.end():
+            yield from table.to_batches()
+
+    ranged = _runs(chunked, max_words).repartitionByRange("key").sortWithinPartitions("key")
+    parts = ranged.mapInArrow(run, "key binary, n long")
+    sums = parts.groupBy("key").agg(F.sum("n").alias("n"))
+    split = F.split(F.col("key").cast("string"), "\x00")
+    words = (F.size(split) - 1).alias("words")
+    found = sums.select(split.alias("parts"), words, "n").where((F.col("n") >= min_count) | (F.col("words") == 0))
+    phrase = F.when(F.col("words") == 0, "").otherwise(F.array_join(F.slice("parts", 2, F.col("words")), " "))
+    return found.select(
+        _unescaped(F.get("parts", F.lit(0))).alias("lang"), _unescaped(phrase).alias("phrase"), "words", "n"
+    )
 
 
 def _exact(name: str) -> Column:

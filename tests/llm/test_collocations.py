@@ -116,3 +116,39 @@ def test_scores_are_exact_beyond_64_bits(spark):
 
     got = counts.withColumn("up", up).withColumn("down", collocations._exact("l") * collocations._exact("r"))
     assert got.select(F.expr("up div down")).first()[0] == 10**6 * a * a // ((a + 1) * (a + 2))
+
+
+def test_beginnings_over_ranges_and_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    keys = Counter()
+    for _ in range(600):
+        words = [rng.choice("abc") * rng.randrange(1, 3) for _ in range(rng.randrange(1, 4))]
+        keys["\x00".join([rng.choice(["", "de", "en"]), *words, *[""] * (3 - len(words))]).encode()] += rng.randrange(1, 4)
+    want = Counter()
+    for key, n in keys.items():
+        parts = key.split(b"\x00")
+        for level in range(4):
+            if not level or parts[level]:
+                want[b"\x00".join(parts[: level + 1])] += n
+    rows_ = sorted(keys.items())
+    for cuts in (0, 1, 5, 40):
+        edges = sorted({0, len(rows_), *rng.sample(range(1, len(rows_)), cuts)})
+        got, told = Counter(), 0
+        for start, end in zip(edges, edges[1:]):
+            sums = collocations._Beginnings(4, 30)
+            size = rng.randrange(1, 9)
+            tables = []
+            for i in range(start, end, size):
+                batch = rows_[i : min(i + size, end)]
+                tables += sums.add(pa.array([k for k, _ in batch], pa.binary()), np.array([n for _, n in batch]))
+            for table in [*tables, *sums.end()]:
+                for row in table.to_pylist():
+                    got[row["key"]] += row["n"]
+                    told += 1
+        frequent = {k: n for k, n in want.items() if n >= 30 or b"\x00" not in k}
+        assert {k: n for k, n in got.items() if k in frequent} == frequent
+        assert all(got[k] < 30 for k in got if k not in frequent)
+        assert told <= len(frequent) + 8 * len(edges)
