@@ -40,6 +40,7 @@ from millrace.operators.models import (
     feature_importance,
     fit_gamma,
     gamma_regression,
+    gamma_score,
     gbt,
     linear_regression,
     mlp,
@@ -66,6 +67,7 @@ from millrace.operators.segments import (
     members_of_largest,
     segment_genres,
     segment_ratings,
+    segment_spread,
 )
 from millrace.operators.splits import (
     hash_sample,

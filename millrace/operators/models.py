@@ -12,7 +12,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import (
+    GeneralizedLinearRegression,
+    GeneralizedLinearRegressionModel,
+    LinearRegression,
+)
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,6 +145,40 @@ def fit_gamma(
     return model.fit(require_positive(train, label))
 
 
+def gamma_score(train: DataFrame, model: GeneralizedLinearRegressionModel, label: str) -> DataFrame:
+    """position (-1 for the intercept), coefficient, gradient, size: whether a Gamma fit solves its equations.
+
+    With identity link a row pulls at its prediction m by (label - m) / m^2. ``gradient`` is the sum of
+    pull times feature over the sum of 1 / m^2, less the penalty's share (the intercept has none): 0 at the
+    solution. ``size`` is the same sum of absolute pulls, to compare with. Rows that pull up and down are
+    two groups of one aggregate over vectors, which is summed up within tasks first, so it takes one
+    pass and shuffles two vectors per task. A model without intercept has no position -1; no rows, no result.
+    """
+    mean = F.col(model.getPredictionCol())
+    scored = model.transform(train).withColumn("_weight", 1 / (mean * mean))
+    scored = scored.withColumn("_pull", (F.col(label) - mean) * F.col("_weight"))
+    pull = F.abs("_pull")
+    sums = Summarizer.metrics("sum").summary(F.col(model.getFeaturesCol()), pull).getField("sum")
+    up_and_down = scored.groupBy((F.col("_pull") < 0).alias("down")).agg(
+        F.concat(F.array(F.sum(pull)), vector_to_array(sums)).alias("pulls"), F.sum("_weight").alias("weight")
+    )
+    signed = F.when(F.col("down"), -F.col("pull")).otherwise(F.col("pull"))
+    sides = up_and_down.select("down", "weight", F.posexplode("pulls").alias("place", "pull"))
+    totals = sides.groupBy((F.col("place") - 1).alias("position")).agg(
+        F.sum(signed).alias("signed"), F.sum("pull").alias("absolute"), F.sum("weight").alias("weight")
+    )
+    fitted = [(i, float(c)) for i, c in enumerate(model.coefficients.toArray())]
+    if model.getFitIntercept():
+        fitted.append((-1, float(model.intercept)))
+    coefficients = train.sparkSession.createDataFrame(fitted, "position INT, coefficient DOUBLE")
+    penalty = F.when(F.col("position") < 0, 0.0).otherwise(F.col("coefficient") * model.getRegParam())
+    return totals.join(coefficients, "position").select(
+        "position", "coefficient",
+        (F.col("signed") / F.col("weight") - penalty).alias("gradient"),
+        (F.col("absolute") / F.col("weight")).alias("size"),
+    )
+
+
 def model_pipeline(features: Sequence[str], estimator: Estimator, out: str = "features") -> Pipeline:
     """Assemble the feature columns, then the estimator."""
     return Pipeline(stages=[assembler(features, out), estimator])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -21,10 +22,10 @@ def _vector(factors: DataFrame) -> Column:
     return array_to_vector("features") if is_array else F.col("features")
 
 
-def fit_segments(factors: DataFrame, k: int = 20, seed: int = 42) -> KMeansModel:
+def fit_segments(factors: DataFrame, k: int = 20, seed: int = 42, max_iter: int = 20) -> KMeansModel:
     """K-means on the ``features`` of the factors, which are persisted while it runs."""
     with persisted(factors.select(_vector(factors).alias("_vector"))) as vectors:
-        return KMeans(featuresCol="_vector", k=k, seed=seed).fit(vectors)
+        return KMeans(featuresCol="_vector", k=k, seed=seed, maxIter=max_iter).fit(vectors)
 
 
 def assign_segments(model: KMeansModel, factors: DataFrame) -> DataFrame:
@@ -33,6 +34,33 @@ def assign_segments(model: KMeansModel, factors: DataFrame) -> DataFrame:
     return scored.select("id", "features", "prediction")
 
 
+def segment_spread(model: KMeansModel, assigned: DataFrame) -> DataFrame:
+    """prediction, count, within, drift: squares within each segment, and how far its centre is from its mean.
+
+    ``within`` is the sum of squared distances of the members to their mean, ``drift`` the squared distance from
+    that mean to the fitted centre, so the cost of a segment is within + count * drift. Means and
+    variances come from one aggregate over vectors, summed up within tasks first, so a hot segment
+    is no hot key. Segments without members have no row.
+    """
+    moments = Summarizer.metrics("mean", "variance", "count").summary(_vector(assigned))
+    found = assigned.groupBy("prediction").agg(moments.alias("m")).select(
+        "prediction", F.col("m.count").alias("count"),
+        vector_to_array("m.mean").alias("mean"), vector_to_array("m.variance").alias("variance"),
+    )
+    centres = assigned.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+        "prediction INT, centre ARRAY<DOUBLE>",
+    )
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+    gaps = F.zip_with("mean", "centre", lambda a, b: (a - b) * (a - b))
+    return found.join(centres, "prediction").select(
+        "prediction", "count", (total(F.col("variance")) * (F.col("count") - 1)).alias("within"), total(gaps).alias("drift")
+    )
+
+
 def largest_segments(assigned: DataFrame, k: int = 3, key: str = "prediction") -> DataFrame:
     """The ``k`` segments with the most rows: rank, key, count."""
     return top_k(assigned.groupBy(key).count(), key, k).select("rank", key, "count")

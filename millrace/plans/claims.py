@@ -17,6 +17,7 @@ from millrace.operators import (
     fit_string_index,
     fit_tandem,
     gamma_regression,
+    gamma_score,
     gbt,
     hash_sample_by,
     hash_split,
@@ -32,9 +33,10 @@ from millrace.operators import (
     tandem_metrics,
 )
 from millrace.operators.features import assemble
-from millrace.operators.tandem import AMOUNT, CLASS
+from millrace.operators.tandem import AMOUNT, CLASS, TandemModel
 from millrace.plans.inputs import CLAIMS_SQL, bucket_sql, claims, table
 from millrace.plans.registry import query
+from millrace.sources import materialise
 
 _MODE_SQL = """(SELECT CAST({c} AS VARCHAR) FROM claims WHERE CAST({c} AS VARCHAR) <> '?'
    GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"""
@@ -259,11 +261,13 @@ def gamma_group_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted_by_make(fit_gamma(rows, "Claim_Amount", reg=0.0).transform(rows))
 
 
-def _tandem_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tandem(spark: SparkSession, sf_dir: str) -> tuple[TandemModel, DataFrame, DataFrame]:
+    """A fitted model, its training rows and the test rows, features assembled."""
     rows = binary_target(claims(spark, sf_dir), "Claim_Amount", "claimed")
     train, test = hash_split(rows, "Row_ID", [0.7, 0.3], seed=42)
     # Another seed: with the split's own the sample would not be independent of it.
     train = hash_sample_by(train, "Row_ID", "claimed", {0: 0.25, 1: 1.0}, seed=43)
+    train = materialise(train.select("Blind_Make", "Var1", "Var2", "claimed", "Claim_Amount"))
     features = feature_pipeline(["Blind_Make"], ["Var1", "Var2"]).fit(train)
     model = fit_tandem(
         features.transform(train),
@@ -272,21 +276,28 @@ def _tandem_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         classifier=gbt("claimed", prediction="_class"),
         regressor=gamma_regression("Claim_Amount", prediction="_amount"),
     )
-    return model.transform(features.transform(test))
+    return model, features.transform(train), features.transform(test)
 
 
 @query(
     "tandem_claims",
     f"""WITH {CLAIMS_SQL}
-    SELECT count(*) AS rows, TRUE AS zero_where_class_0, TRUE AS none_negative
+    SELECT count(*) AS rows, TRUE AS zero_where_class_0, TRUE AS none_negative,
+           (SELECT count(DISTINCT Blind_Make) + 3 FROM claims WHERE {bucket_sql(42, "Row_ID")} < 0.7
+              AND {bucket_sql(43, "Row_ID")} < CASE WHEN Claim_Amount = 0 THEN 0.25 ELSE 1.0 END) AS solved
     FROM claims WHERE {bucket_sql(42, "Row_ID")} >= 0.7""",
 )
 def tandem_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _tandem_scored(spark, sf_dir)
-    return scored.agg(
+    """How the parts of a scored test set fit together, and how many of the regressor's equations are solved."""
+    model, train, test = _tandem(spark, sf_dir)
+    score = gamma_score(train.where("claimed = 1"), model.regressor, "Claim_Amount")
+    # A level of the features that no row has neither pulls nor is pulled.
+    solved = score.where(F.abs("gradient") <= 1e-4 * F.col("size") + 1e-12).count()
+    return model.transform(test).agg(
         F.count(F.lit(1)).alias("rows"),
         F.every((F.col(CLASS) == 1) | (F.col(AMOUNT) == 0)).alias("zero_where_class_0"),
         F.every(F.col(AMOUNT) >= 0).alias("none_negative"),
+        F.lit(solved).cast("long").alias("solved"),
     )
 
 
@@ -299,7 +310,8 @@ def tandem_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def tandem_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the metrics of the parts of a scored test set must hang together."""
-    metrics = tandem_metrics(_tandem_scored(spark, sf_dir), "claimed", "Claim_Amount")
+    model, _, test = _tandem(spark, sf_dir)
+    metrics = tandem_metrics(model.transform(test), "claimed", "Claim_Amount")
 
     def of(part: str, value: str):
         return F.max(F.when(F.col("part") == part, F.col(value)))

@@ -24,6 +24,7 @@ from millrace.operators import (
     regression_metrics,
     segment_genres,
     segment_ratings,
+    segment_spread,
     solve_factors,
     time_split,
     time_splits,
@@ -253,17 +254,21 @@ def als_experiment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "user_segments",
     f"""WITH {RATINGS_SQL}
-    SELECT side, count(DISTINCT userId) AS users, TRUE AS all_nearest, TRUE AS rank_10
+    SELECT side, count(DISTINCT userId) AS users, TRUE AS all_nearest, TRUE AS rank_10,
+           TRUE AS centres_are_means, TRUE AS cost_as_trained
     FROM (SELECT userId, CASE WHEN pr <= 0.8 THEN 'train' ELSE 'test' END AS side FROM ranked)
     GROUP BY side""",
 )
 def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Factors and clusters of each side of the split, checked against the fitted centres."""
+    """Factors and clusters of each side of the split, checked against the fitted centres.
+
+    Once k-means has settled its centres are their members' means, and the members' squares add up to its cost.
+    """
     parts = []
     sides = time_split(landed(spark, sf_dir, "userId", "movieId", "rating", "ts"), "ts", 0.8)
     for name, side in zip(("train", "test"), sides):
-        factors = user_factors(fit_als(side, seed=42))
-        model = fit_segments(factors, k=20, seed=42)
+        factors = materialise(user_factors(fit_als(side, seed=42)))
+        model = fit_segments(factors, k=20, seed=42, max_iter=300)
         distances = F.array(*[
             F.aggregate(
                 F.zip_with("features", F.array(*[F.lit(float(x)) for x in centre]),
@@ -274,11 +279,21 @@ def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         ])
         assigned = assign_segments(model, factors).withColumn("_d", distances)
         own = F.get("_d", F.col("prediction"))
+        spread = segment_spread(model, assign_segments(model, factors)).agg(
+            F.sum(F.col("within") + F.col("count") * F.col("drift")).alias("cost"),
+            F.sum("within").alias("within"), F.max("drift").alias("drift"),
+        ).first()
+        trained = model.summary.trainingCost
+        as_trained = abs(spread["cost"] - trained) <= 1e-3 * trained
+        # The solver stops when no centre moves by more than 1e-4.
+        are_means = spread["cost"] - spread["within"] <= 1e-3 * trained and spread["drift"] <= 1e-3
         parts.append(
             assigned.groupBy(F.lit(name).alias("side")).agg(
                 F.count(F.lit(1)).alias("users"),
                 F.every(own <= F.array_min("_d") + 1e-9).alias("all_nearest"),
                 F.every(F.size("features") == 10).alias("rank_10"),
+                F.lit(are_means).alias("centres_are_means"),
+                F.lit(as_trained).alias("cost_as_trained"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

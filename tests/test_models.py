@@ -16,6 +16,7 @@ from millrace.operators import (
     fit_gamma,
     fit_tandem,
     gamma_regression,
+    gamma_score,
     gbt,
     hard_auc_evaluator,
     index_strings,
@@ -178,3 +179,24 @@ def test_tandem(spark, points):
 def test_fit_sets_a_checkpoint_folder(spark, points):
     fit(random_forest("y", max_depth=1, trees=1), points)
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_gamma_score_tells_a_solution_from_another(spark):
+    data = [(float(i % 7), float(i % 3 == 0), 20.0 + 3 * (i % 7) + 5 * (i % 3 == 0) + (i * 37 % 11)) for i in range(300)]
+    df = assemble(spark.createDataFrame(data, "a double, b double, y double"), ["a", "b"])
+    model = fit_gamma(df, "y", reg=0.1)
+    found = {r["position"]: r for r in gamma_score(df, model, "y").collect()}
+    assert set(found) == {-1, 0, 1}
+    assert all(abs(r["gradient"]) < 1e-6 * r["size"] for r in found.values())
+    # On other rows the same coefficients solve nothing, and each number is the plain sum.
+    part = df.where("b = 1")
+    scored = model.transform(part).select("a", "b", "y", "prediction").collect()
+    weight = sum(1 / r["prediction"] ** 2 for r in scored)
+    for row in gamma_score(part, model, "y").collect():
+        name = {-1: None, 0: "a", 1: "b"}[row["position"]]
+        pulls = [(r["y"] - r["prediction"]) / r["prediction"] ** 2 * (r[name] if name else 1) for r in scored]
+        penalty = 0.1 * row["coefficient"] if name else 0
+        assert row["gradient"] == pytest.approx(sum(pulls) / weight - penalty, rel=1e-9, abs=1e-12)
+        assert row["size"] == pytest.approx(sum(map(abs, pulls)) / weight, rel=1e-9)
+    assert any(abs(r["gradient"]) > 1e-3 * r["size"] for r in gamma_score(part, model, "y").collect())
+    assert gamma_score(df.where("false"), model, "y").count() == 0

@@ -9,6 +9,7 @@ from millrace.operators import (
     largest_segments,
     members_of_largest,
     segment_genres,
+    segment_spread,
     user_factors,
 )
 from tests.helpers import rows
@@ -79,3 +80,33 @@ def test_segment_genres(spark):
     assert rows(segment_genres(users, rated, movies, min_rating=3, k=1)) == [(1, "B", 5)]
     only_null = users.where("id = 2")
     assert rows(segment_genres(only_null, rated, movies)) == []
+
+
+def test_segment_spread_adds_up_to_the_cost(spark):
+    points = [(i, [float(i % 5) * 10 + (i * 31 % 7) / 7, float(i % 3) + (i * 17 % 5) / 5]) for i in range(200)]
+    points += [(1000 + i, [500.0, 500.0]) for i in range(50)]
+    df = spark.createDataFrame(points, "id INT, features ARRAY<DOUBLE>").repartition(5)
+    settled = fit_segments(df, k=6, seed=1, max_iter=300)
+    spread = segment_spread(settled, assign_segments(settled, df)).collect()
+    members = {}
+    for r in assign_segments(settled, df).collect():
+        members.setdefault(r["prediction"], []).append(r["features"])
+    assert {r["prediction"]: r["count"] for r in spread} == {k: len(v) for k, v in members.items()}
+    for r in spread:
+        own = members[r["prediction"]]
+        mean = [sum(x) / len(own) for x in zip(*own)]
+        assert r["within"] == pytest.approx(sum((a - b) ** 2 for v in own for a, b in zip(v, mean)), abs=1e-6)
+        assert r["drift"] < 1e-6
+    assert sum(r["within"] for r in spread) == pytest.approx(settled.summary.trainingCost, rel=1e-6)
+
+    # Centres fitted on other points are not the means, and drift says by how much.
+    other = fit_segments(df.where("id < 100"), k=6, seed=1, max_iter=1)
+    assigned = assign_segments(other, df)
+    parts = segment_spread(other, assigned).collect()
+    centres = other.clusterCenters()
+    direct = sum(
+        sum((a - b) ** 2 for a, b in zip(r["features"], centres[r["prediction"]])) for r in assigned.collect()
+    )
+    assert sum(r["within"] + r["count"] * r["drift"] for r in parts) == pytest.approx(direct, rel=1e-9)
+    assert max(r["drift"] for r in parts) > 1
+    assert segment_spread(other, assigned.where("false")).collect() == []
