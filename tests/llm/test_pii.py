@@ -9,6 +9,7 @@ import pytest
 
 from millrace.llm.pii import (
     KINDS, LABELS, NONE, Graph, SkipChain, added_spans, base_spans, build_graph, find_pii, fit_skip_chain,
+    hidden_recall,
 )
 
 PLAIN = [
@@ -64,17 +65,20 @@ def test_numbers_in_groups_are_tied_to_later_mentions(spark, found, other):
 
 
 def small_model(rng):
-    shapes = {str(i): np.log(rng.dirichlet(np.ones(LABELS))) for i in range(6)}
+    shapes, before, after = (np.log(rng.dirichlet(np.ones(LABELS), size=6)) for _ in range(3))
     chain, skip = (rng.normal(size=(LABELS, LABELS)) for _ in range(2))
-    return SkipChain(np.full((LABELS, LABELS), -9.0) + 9 * np.eye(LABELS), shapes, shapes["0"], chain + chain.T, skip + skip.T)
+    return SkipChain(np.full((LABELS, LABELS), -9.0) + 9 * np.eye(LABELS), shapes, before, after, chain + chain.T, skip + skip.T)
 
 
 def test_messages_are_exact_on_trees():
     rng = np.random.default_rng(2)
     for _ in range(10):
         model = small_model(rng)
-        graph = Graph(spans=[(i, i + 1) for i in range(4)], shapes=["1", "2", "3", "4"], labels=[NONE, 2, NONE, NONE], chain=[(0, 1), (1, 2)], skip=[(0, 3)])
-        node = [model.shown[l] if l != NONE else model.shapes[s] for s, l in zip(graph.shapes, graph.labels)]
+        graph = Graph(spans=[(i, i + 1) for i in range(4)], seen=[(1, 0, 2), (2, 2, 5), (3, 1, 1), (4, 0, 0)], labels=[NONE, 2, NONE, NONE], chain=[(0, 1), (1, 2)], skip=[(0, 3)])
+        node = [
+            model.shown[l] if l != NONE else model.shapes[s] + model.before[b] + model.after[a]
+            for (s, b, a), l in zip(graph.seen, graph.labels)
+        ]
         exact = np.zeros((4, LABELS))
         for y in itertools.product(range(LABELS), repeat=4):
             score = sum(n[k] for n, k in zip(node, y)) + sum(model.chain[y[a], y[b]] for a, b in graph.chain)
@@ -99,6 +103,50 @@ def test_field_adds_similar_mentions(spark):
     assert [(KINDS[k], TEXT[a:b]) for k, a, b in added] == [("phone", "415-555-2671"), ("email", "jane.doe9")]
 
 
+def corpus(spark):
+    """Numbers after "order" are none, those after "dial" are telephone numbers, those after "paid" cards."""
+    rng = random.Random(4)
+    texts = []
+    for i in range(60):
+        n = rng.randrange(10**9, 10**10)
+        texts.append(f"your order {n} shipped, dial +1 {rng.randrange(200, 999)} 555 {rng.randrange(1000, 9999)} tonight")
+        digits = f"4{rng.randrange(10**14, 10**15 - 1)}"
+        digits = next(digits[:15] + c for c in "0123456789" if luhn(digits[:15] + c))
+        texts.append(f"paid {digits} already {' filler' * i}")
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+def added(model, text):
+    (spans,) = added_spans([build_graph(text, base_spans(text))], model)
+    return [(KINDS[k], text[a:b]) for k, a, b in spans]
+
+
+def test_field_decides(spark):
+    docs = corpus(spark)
+    model = fit_skip_chain(docs)
+    # Declined: the last seven digits are those of a found number, but shape and neighbours are an order's.
+    far = "dial +1 415 555 2671 tonight, and with many quiet words between "
+    assert added(model, f"{far} your order 9205552671 shipped") == []
+    assert added(model, f"{far} or 415.555.2671 later") == [("phone", "415.555.2671")]
+    # Added without any tie: the right neighbours, in a shape that was never seen.
+    assert added(model, "dial 415 555 2671 tonight") == [("phone", "415 555 2671")]
+    assert added(model, "then 415 555 2671 came") == []
+    # Two found kinds share the end of a mention: the shape of a card settles it.
+    card = next(f"41111111{k}5552671" for k in range(10) if luhn(f"41111111{k}5552671"))
+    text = f"dial +1 415 555 2671 tonight, paid {card} already, and 9 {card} at last"
+    base = base_spans(text)
+    assert [KINDS[k] for k, *_ in base] == ["card", "phone"]
+    assert added(model, text) == [("card", card)]
+
+
+def test_hidden_mentions_are_found_again(spark):
+    docs = corpus(spark)
+    model = fit_skip_chain(docs.where("doc_id % 5 <> 0"))
+    got = {r["kind"]: (r["n"], r["right"], r["wrong"]) for r in hidden_recall(docs.where("doc_id % 5 = 0"), model).collect()}
+    assert got["phone"] == (12, 12, 0) and got["card"] == (12, 12, 0) and got["none"] == (12, 12, 0)
+    assert got["email"] == got["ip"] == (0, 0, 0)
+
+
 def test_edge_rows(spark):
     long = "word " * 60_000
     df = spark.createDataFrame(
