@@ -4,7 +4,8 @@ Texts and items are compared as lower-case words (runs of letters, digits and un
 joined by single blanks. An item of m characters may be found with up to ``k = rate * m`` edits. It is split
 into k + 1 pieces: k edits leave one piece unhurt, so every occurrence shows at least one exact piece.
 An automaton finds all exact pieces of all items in one pass over a text, and Myers'
-bit-parallel algorithm gets the edit distance around each hit.
+bit-parallel algorithm gets the edit distance around each hit. In an item of a few words an
+edit makes another statement, so such an item is one piece and is found where it stands as whole words.
 """
 
 from __future__ import annotations
@@ -18,15 +19,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources import materialise
+
 #: Edits allowed per character of an item.
 RATE = 0.08
-#: An item of fewer words is only found in a document that says nothing else.
+#: Items of fewer words are found without edits, as whole words.
 LEAST_WORDS = 8
+#: Items of fewer words make a document go only if it says nothing else.
+DROP_WORDS = 8
 #: Characters of items that one automaton holds, on average.
 BLOCK_CHARS = 1_000_000
 
 _WORDS = re.compile(r"\w+")
-_KIND = "array<struct<item_id: bigint, distance: int, start: int, end: int>>"
 
 
 def normal(text: str | None) -> str:
@@ -73,25 +77,34 @@ class Pattern:
         return least, end
 
 
+def _as_words(item: str, part: str, before: str, after: str) -> int:
+    """Where ``item`` first stands in ``part`` with no letter of a further word at either end, or -1."""
+    at = part.find(item)
+    while at >= 0:
+        left = part[at - 1] if at else before
+        right = part[at + len(item)] if at + len(item) < len(part) else after
+        if left in ("", " ") and right in ("", " "):
+            return at
+        at = part.find(item, at + 1)
+    return -1
+
+
 class ItemIndex:
     """The pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str | None]], rate: float, least_words: int):
-        self.whole: dict[str, list[int]] = defaultdict(list)
-        self.items: list[tuple[list[int], str, int]] = []
+    def __init__(self, items: list[tuple[int, str | None]], rate: float, least_words: int = LEAST_WORDS):
+        self.items: list[tuple[list[int], str, int, bool]] = []
         by_text: dict[str, list[int]] = defaultdict(list)
         for item_id, text in items:
             if item_text := normal(text):
                 by_text[item_text].append(item_id)
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for text, ids in by_text.items():
-            if text.count(" ") + 1 < least_words:
-                self.whole[text] += ids
-                continue
-            errors = int(rate * len(text))
+            whole = text.count(" ") + 1 < least_words
+            errors = 0 if whole else int(rate * len(text))
             for offset, piece in cut_pieces(text, errors):
                 pieces[piece].append((len(self.items), offset + len(piece)))
-            self.items.append((ids, text, errors))
+            self.items.append((ids, text, errors, whole))
         self.automaton = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.automaton.add_word(piece, places)
@@ -106,7 +119,7 @@ class ItemIndex:
             for number, offset in places:
                 shifts[number].add(last + 1 - offset)
         for number, found in shifts.items():
-            _, item, errors = self.items[number]
+            _, item, errors, _ = self.items[number]
             run: list[int] = []
             for shift in [*sorted(found), None]:
                 if run and (shift is None or shift > run[1] + len(item) + 2 * errors):
@@ -117,10 +130,15 @@ class ItemIndex:
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, start, end) of the best occurrence of each item found."""
-        out = [(i, 0, 0, len(text)) for i in self.whole.get(text, ())]
+        out: list[tuple[int, int, int, int]] = []
         best: dict[int, tuple[int, int, int]] = {}
         for number, start, end in self._windows(text) if self.items else ():
-            _, item, errors = self.items[number]
+            _, item, errors, whole = self.items[number]
+            if whole:
+                at = -1 if number in best else _as_words(item, text[start:end], text[:start][-1:], text[end : end + 1])
+                if at >= 0:
+                    best[number] = 0, start + at, start + at + len(item)
+                continue
             if number not in self.patterns:
                 self.patterns[number] = Pattern(item), Pattern(item[::-1])
             forth, back = self.patterns[number]
@@ -151,12 +169,12 @@ def _original_spans(text: str, found: list[tuple[int, int, int, int]]) -> list[d
 
 
 def matches_column(items: list[tuple[int, str | None]], text: str = "text",
-                   rate: float = RATE, least_words: int = LEAST_WORDS) -> Column:
+                   rate: float = RATE, id_type: str = "bigint") -> Column:
     """Array of (item_id, distance, start, end): the items of one block found in a text."""
 
-    @F.pandas_udf(_KIND)
+    @F.pandas_udf(f"array<struct<item_id: {id_type}, distance: int, start: int, end: int>>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = ItemIndex(items, rate, least_words)
+        index = ItemIndex(items, rate)
         for texts in batches:
             out = []
             for text in texts:
@@ -177,30 +195,56 @@ def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list
         yield [(r["item_id"], r["text"]) for r in rows.collect()]
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least_words: int = LEAST_WORDS
-) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The test items (``benchmark``: item_id, text) that documents (doc_id, text) contain.
 
     One row for each document and item: doc_id, item_id, distance (edits), start, end (code
-    points of the text, end exclusive) of the best occurrence. A benchmark of any size is taken in blocks of
-    bounded size, each with a pass over the documents. Null and empty texts and items have no matches; rows that
-    repeat are reported as often; equal items are reported under each of their ids.
+    points of the text, end exclusive) of the best occurrence, the first of equals. Items of any length are searched. A
+    benchmark of any size is taken in blocks of bounded size, each with a pass over the documents; with more
+    than one, each pass is written before the next block is read. Ids of any simple type keep it.
+    Null and empty texts and items have no matches, nor have empty tables; very long texts are searched whole;
+    rows that repeat are reported as often; equal items are reported under each of their ids. Other columns are
+    ignored, whatever their names.
     """
-    parts = [
-        docs.select("doc_id", F.explode(matches_column(items, "text", rate, least_words)).alias("m"))
-        for items in item_blocks(benchmark)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("doc_id", "m.item_id", "m.distance", "m.start", "m.end")
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+
+    def searched(items: list[tuple[int, str | None]]) -> DataFrame:
+        found = docs.select("doc_id", F.explode(matches_column(items, "text", rate, kind)).alias("m"))
+        return found.select("doc_id", "m.item_id", "m.distance", "m.start", "m.end")
+
+    blocks = item_blocks(benchmark)
+    out = searched(next(blocks))
+    for n, items in enumerate(blocks):
+        out = (materialise(out) if n == 0 else out).unionByName(materialise(searched(items)))
+    return out
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least_words: int = LEAST_WORDS
+    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least_words: int = DROP_WORDS
 ) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, in which no test item is found."""
-    for items in item_blocks(benchmark):
-        docs = docs.where(F.size(matches_column(items, "text", rate, least_words)) == 0)
+    """The rows of ``docs``, columns unchanged, in which no test item is found.
+
+    Items of fewer than ``least_words`` words only count in a document that says nothing else: they are
+    answers and names that clean texts use too. Pass 1 to have every item count wherever it stands. Nulls, empty
+    and long texts, repeated rows and empty tables are as in :func:`find_contamination`; null and empty texts stay.
+    With more than one block of items, each pass is written before the next block is read.
+    """
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    for n, items in enumerate(item_blocks(benchmark)):
+        docs = materialise(docs) if n else docs
+        long = [i for i in items if len(normal(i[1]).split()) >= least_words]
+        short = sorted({normal(text) for _, text in items} - {normal(text) for _, text in long} - {""})
+        docs = docs.where(F.size(matches_column(long, "text", rate, kind)) == 0) if long else docs
+        docs = docs.where(~_says_only(short)) if short else docs
     return docs
+
+
+def _says_only(texts: list[str]) -> Column:
+    """Whether a text has the words of one of ``texts`` and no others."""
+    wanted = set(texts)
+
+    @F.pandas_udf("boolean")
+    def same(column: pd.Series) -> pd.Series:
+        return pd.Series([normal(t) in wanted for t in column], dtype=bool)
+
+    return same(F.col("text"))

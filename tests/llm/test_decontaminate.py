@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import (
     ItemIndex, Pattern, cut_pieces, drop_contaminated, find_contamination, normal,
@@ -55,7 +56,7 @@ def test_pieces_cover_the_item():
 @pytest.mark.parametrize("rate", [0.0, 0.05, 0.1])
 def test_finds_what_the_full_table_finds(rate):
     items = [(i, text_of(12, i)) for i in range(12)]
-    index = ItemIndex(items, rate, 8)
+    index = ItemIndex(items, rate)
     for k in range(60):
         item = items[k % 12][1]
         text = normal(text_of(30, 500 + k) + " " + damaged(item, k % 9, k) + " " + text_of(10, 900 + k))
@@ -73,7 +74,8 @@ def test_documents(spark):
     docs = spark.createDataFrame(
         [(1, f"Before,\n{item.upper().replace(' ', ' - ')}! After.", "a"), (2, long, "b"), (3, f"{long} {item} {long}", "c"),
          (3, f"{long} {item} {long}", "c"), (4, None, "d"), (5, "", "e"), (None, item, "f"), (6, "Three small WORDS.", "g"),
-         (7, "three small words more", "h")],
+         (7, "Then three small words more", "h"),
+         (8, "three small wordsmiths, a three small-words", "i"), (9, "nothree small words", "j")],
         "doc_id long, text string, item_id string",
     )
     items = spark.createDataFrame(
@@ -82,16 +84,21 @@ def test_documents(spark):
     )
     found = find_contamination(docs, items)
     assert rows(found, "doc_id", "item_id", "distance") == sorted(
-        [(d, i, 0) for d in (1, 3, 3, None) for i in (10, 11)] + [(6, 14, 0)], key=repr
+        [(d, i, 0) for d in (1, 3, 3, None) for i in (10, 11)] + [(6, 14, 0), (7, 14, 0), (8, 14, 0)], key=repr
     )
     spans = {(r["doc_id"], r["item_id"]): (r["start"], r["end"]) for r in found.collect()}
     assert spans[None, 10] == (0, len(item)) and spans[1, 10] == (8, 8 + len(item.replace(" ", " - ")))
-    assert rows(drop_contaminated(docs, items), "doc_id", "item_id") == [(2, "b"), (4, "d"), (5, "e"), (7, "h")]
+    assert spans[7, 14] == (5, 22) and spans[8, 14] == (26, 43)
+    kept = [(2, "b"), (4, "d"), (5, "e"), (7, "h"), (8, "i"), (9, "j")]
+    assert rows(drop_contaminated(docs, items), "doc_id", "item_id") == kept
+    assert rows(drop_contaminated(docs, items, least_words=1), "doc_id", "item_id") == kept[:3] + kept[5:]
+    named = items.withColumn("item_id", F.concat(F.lit("item-"), F.col("item_id")))
+    assert rows(find_contamination(docs.where("doc_id = 7"), named), "item_id") == [("item-14",)]
     assert find_contamination(docs, items.where("false")).collect() == []
     assert find_contamination(docs.where("false"), items).collect() == []
 
 
-def test_blocks_of_items_find_the_same(spark):
+def test_blocks_of_items_find_the_same(spark, monkeypatch):
     items = [(i, text_of(15, i)) for i in range(30)]
     docs = spark.createDataFrame([(i, f"{text_of(9, 70 + i)} {items[i][1]}") for i in range(0, 30, 4)], "doc_id long, text string")
     table = spark.createDataFrame(items, "item_id long, text string")
@@ -99,4 +106,12 @@ def test_blocks_of_items_find_the_same(spark):
 
     blocks = list(decontaminate.item_blocks(table, chars=300))
     assert len(blocks) > 3 and sorted(i for b in blocks for i in b) == sorted(items)
-    assert {(r["doc_id"], r["item_id"]) for r in find_contamination(docs, table).collect()} == {(i, i) for i in range(0, 30, 4)}
+    def found():
+        return {(r["doc_id"], r["item_id"]) for r in find_contamination(docs, table).collect()}
+
+    assert found() == {(i, i) for i in range(0, 30, 4)}
+    in_blocks = [(b, [(i, t) for i, t in items if i % 3 == b]) for b in range(3)]
+    monkeypatch.setattr(decontaminate, "item_blocks", lambda benchmark: iter([b for _, b in in_blocks]))
+    assert found() == {(i, i) for i in range(0, 30, 4)}
+    assert rows(drop_contaminated(docs.unionByName(docs.selectExpr("doc_id + 100 AS doc_id", "'clean' AS text")), table), "doc_id") == [
+        (100 + i,) for i in range(0, 30, 4)]

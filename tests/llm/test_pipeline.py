@@ -6,7 +6,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from millrace.llm.decontaminate import LEAST_WORDS, RATE, Pattern, normal
+from millrace.llm.decontaminate import DROP_WORDS, RATE, Pattern, normal
 from millrace.llm.queries import QUERIES
 from millrace.sources import materialise
 from tests.llm.test_near_dups import expected as clusters
@@ -50,7 +50,7 @@ def test_near_duplicates(stages):
 
 def test_decontamination(spark, stages):
     items = [normal(r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
-    assert all(t.count(" ") + 1 >= LEAST_WORDS for t in items)
+    assert all(t.count(" ") + 1 >= DROP_WORDS for t in items)
     patterns = [(Pattern(t), int(RATE * len(t))) for t in items]
     clean = [
         r["doc_id"] for r in stages[2][2]
