@@ -1,12 +1,12 @@
 """Near-duplicate documents by a multi-index Hamming join of b-bit MinHash signatures.
 
-A document is the set of its distinct word 3-shingles. Its signature has 40 MinHash values of
+A document is the set of its distinct word shingles, of five words unless told otherwise. Its signature has 40 MinHash values of
 16 bits, kept as 10 chunks of four values, each chunk one long. Two documents at signature
 distance 19 or less (values that differ) have a chunk with at most one differing value
 (pigeonhole: ten chunks with two or more would make 20), so they share one of the four keys
 that this chunk gives with one of its values masked. Hence every pair within the distance meets
 in a bucket. Of 40 values, a pair at Jaccard 0.85 differs in 6 on average and in 20 or more
-with a chance of about 1e-7; other thresholds need other sizes.
+with a chance of about 2e-7, a pair at 0.8 in 8 and with a chance of about 2e-5; lower thresholds need other sizes.
 
 Every link is confirmed on the full shingle sets. Within a bucket not all pairs are formed:
 
@@ -67,21 +67,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_set(text: bytes | None, words: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the 3-shingles of an UTF-8 text.
+def shingle_set(text: bytes | None, words: WordHashes, size: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of ``size`` words (two or more) of an UTF-8 text.
 
     ``bytes.lower`` and ``bytes.split`` know ASCII only, which is what is asked for: A-Z are
-    lower-cased and words end at blanks and the controls 9 to 13. One or two words are a single shingle.
+    lower-cased and words end at blanks and the controls 9 to 13. Fewer words are a single shingle.
     """
     tokens = text.lower().split() if text else []
     if not tokens:
         return np.empty(0, np.uint64)
     w = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
-    if len(w) < 3:
-        joined = w[:1] * _U(3) + (w[1:] * _U(5) if len(w) == 2 else _U(0)) + _U(len(w))
-        return _mixed(joined)
-    h = _mixed(w[:-2] * _U(0x9E3779B97F4A7C15) + w[1:-1])
-    return np.unique(_mixed(h * _U(0xD6E8FEB86659FD93) + w[2:]))
+    if len(w) < size:
+        odd = np.arange(3, 2 * len(w) + 3, 2).astype(np.uint64)
+        return _mixed((w * odd).sum(keepdims=True) + _U(len(w)))
+    h, n = w[: len(w) - size + 1], len(w) - size + 1
+    for i in range(1, size - 1):
+        h = _mixed(h * _U(0x9E3779B97F4A7C15) + w[i : i + n])
+    return np.unique(_mixed(h * _U(0xD6E8FEB86659FD93) + w[size - 1 :]))
 
 
 def signature(shingles: np.ndarray, step: int = 4096) -> np.ndarray:
@@ -97,7 +99,7 @@ def _set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - 2**63
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, set_id (equal for equal sets, null for empty ones), s0 to s9."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +110,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             ids = np.zeros(len(texts), np.int64)
             parts = np.zeros((len(texts), CHUNKS), np.int64)
             for i, text in enumerate(texts):
-                shingles = shingle_set(text.as_py(), words)
+                shingles = shingle_set(text.as_py(), words, size)
                 n[i] = len(shingles)
                 if n[i]:
                     ids[i] = _set_id(shingles)
@@ -156,7 +158,7 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(sizes & (_distance("x", "y") <= MAX_DISTANCE)).select("p.a", "p.b")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
     The members b of one a are dealt to groups of about :data:`PER_TASK`, each with a copy of a's text.
@@ -180,7 +182,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             left, right = [], []
             for a, salt, member, b, text in zip(*[c.to_pylist() for c in batch.columns]):
-                shingles = shingle_set(text, words)
+                shingles = shingle_set(text, words, size)
                 if _set_id(shingles) != b:
                     continue  # another text with the same id
                 if not member:
@@ -312,7 +314,7 @@ class _Block:
 
 
 def _open_links(
-    members: DataFrame, roots: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
+    members: DataFrame, roots: DataFrame, sets: DataFrame, texts: DataFrame, percent: int, size: int
 ) -> DataFrame:
     """Links (a, b) between different components within buckets, enough to join what belongs together.
 
@@ -362,7 +364,7 @@ def _open_links(
 
     def confirmed(table: pa.Table, words: WordHashes) -> pa.Table:
         ids = table.column("set_id").to_pylist()
-        shingles = [shingle_set(t.as_py(), words) for t in table.column("text")]
+        shingles = [shingle_set(t.as_py(), words, size) for t in table.column("text")]
         right = np.array([_set_id(s) == i for s, i in zip(shingles, ids)], bool)
         table, shingles = table.filter(pa.array(right)), [s for s, r in zip(shingles, right) if r]
         block = _Block(table, percent)
@@ -398,18 +400,19 @@ def _open_links(
     return grouped(full.select(*carried, "text")).mapInArrow(links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """Cluster documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more.
+def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """Cluster documents whose sets of ``size``-word shingles have a Jaccard similarity of ``percent`` / 100 or more.
 
-    ``docs`` needs doc_id and text; other columns are ignored. Returns one row per row of
-    ``docs``: doc_id, n_shingles, component_id (smallest doc_id of the component), kept.
+    ``percent`` should be 80 or more, as the signatures are made for that.
+    ``docs`` needs doc_id and text; other columns are ignored. Returns one row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id of the component), kept.
     A null or empty text has no shingles and its row is a component of its own. Rows that repeat
     an id are judged each by its own text. A null doc_id gets the smallest id of its component,
     null if there is none, and is kept only then; an empty text without an id is kept.
+    An empty table stays empty, very long texts are taken whole.
     Equal sets are one node of the graph, so copies are never paired. Sets are equal if their
     64-bit fingerprints are.
     """
-    rows = materialise(signatures(docs))
+    rows = materialise(signatures(docs, size))
     sets = materialise(
         rows.where("set_id IS NOT NULL")
         .groupBy("set_id")
@@ -436,10 +439,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     candidates = materialise(members.select("set_id").distinct())
     first = rows.join(candidates, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     texts = _texts(docs, materialise(first))
-    links = materialise(_confirmed(materialise(_near(stars.distinct(), sets, percent)), texts, percent))
+    links = materialise(_confirmed(materialise(_near(stars.distinct(), sets, percent)), texts, percent, size))
     roots = materialise(components(links))
     # 2. What is still open within buckets.
-    more = materialise(_open_links(members.drop("n"), roots, sets, texts, percent))
+    more = materialise(_open_links(members.drop("n"), roots, sets, texts, percent, size))
     if not more.isEmpty():
         roots = materialise(components(links.unionByName(more)))
     rooted = materialise(
@@ -466,11 +469,11 @@ def _texts(docs: DataFrame, first: DataFrame) -> DataFrame:
     return materialise(found.select("set_id", "text"))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """The rows of ``docs`` but for those that repeat a document with a smaller id.
 
     Rows with equal ids stay or go together; a row without an id stays.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), percent)
+    found = near_duplicates(docs.select("doc_id", "text"), percent, size)
     gone = materialise(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
     return wide_join(docs, gone, ["doc_id"], "left_anti")

@@ -63,7 +63,7 @@ FROM r JOIN n ON n.doc_id = r.node GROUP BY doc_id, n"""
 
 @query("op9_near_dups", _NEAR_SQL)
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(load(spark, sf_dir, "documents"))
+    return near_duplicates(load(spark, sf_dir, "documents"), percent=85, size=3)
 
 
 @query("op10_toxicity")

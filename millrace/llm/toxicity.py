@@ -162,7 +162,7 @@ def _weighted(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            signs = [signature(shingle_set(t.as_py(), words))[:2].view("<i4") for t in batch.column(1)]
+            signs = [signature(shingle_set(t.as_py(), words, 3))[:2].view("<i4") for t in batch.column(1)]
             columns = np.array(signs, np.int64).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], names=["key", *marks])
 

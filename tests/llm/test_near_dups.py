@@ -5,6 +5,7 @@ from functools import partial
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from millrace.llm import near_dups
 from millrace.llm.common import wide_join
@@ -22,16 +23,16 @@ def edited(base, share, seed):
     return [f"x{seed}{i}" if rng.random() < share else w for i, w in enumerate(base)]
 
 
-def shingles(text):
+def shingles(text, size):
     w = (text or "").encode().lower().split()
-    if len(w) < 3:
+    if len(w) < size:
         return frozenset([tuple(w)]) if w else frozenset()
-    return frozenset(zip(w, w[1:], w[2:]))
+    return frozenset(zip(*[w[i:] for i in range(size)]))
 
 
-def expected(docs):
+def expected(docs, percent=80, size=5):
     """doc_id -> (n_shingles, component_id) by comparing all pairs of documents."""
-    sets = {i: shingles(t) for i, t in docs}
+    sets = {i: shingles(t, size) for i, t in docs}
     root = {i: i for i in sets}
 
     def find(x):
@@ -41,13 +42,14 @@ def expected(docs):
 
     for a, b in combinations(sets, 2):
         both = len(sets[a] & sets[b])
-        if sets[a] and sets[b] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+        if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             a, b = sorted((find(a), find(b)))
             root[b] = a
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def test_links_are_those_of_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("percent, size", [(80, 5), (85, 3)])
+def test_links_are_those_of_all_pairs(spark, monkeypatch, percent, size):
     monkeypatch.setattr(near_dups, "BLOCK", 20)
     monkeypatch.setattr(near_dups, "wide_join", partial(wide_join, few=0))
     texts = []
@@ -61,8 +63,8 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch):
     docs = [(3 * i + 5, t) for i, t in enumerate(texts)]
     random.Random(1).shuffle(docs)
     df = spark.createDataFrame([(i, t, "x", 7) for i, t in docs], "doc_id long, text string, set_id string, root int")
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(df).collect()}
-    assert found == expected(docs)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(df, percent, size).collect()}
+    assert found == expected(docs, percent, size)
 
 
 def test_edge_rows(spark):
@@ -119,6 +121,6 @@ def test_pairs_within_the_distance_share_a_bucket():
 
 def test_shingles_lower_ascii_only():
     memory = near_dups.WordHashes()
-    assert list(shingle_set("A B C".encode(), memory)) == list(shingle_set("a\x0bb\x0cc".encode(), memory))
-    assert list(shingle_set("É b c".encode(), memory)) != list(shingle_set("é b c".encode(), memory))
-    assert len(shingle_set("a b c".encode(), memory)) == 1  # a no-break space does not end a word
+    assert list(shingle_set("A B C".encode(), memory, 3)) == list(shingle_set("a\x0bb\x0cc".encode(), memory, 3))
+    assert list(shingle_set("É b c".encode(), memory, 3)) != list(shingle_set("é b c".encode(), memory, 3))
+    assert len(shingle_set("a b c".encode(), memory, 3)) == 1  # a no-break space does not end a word
