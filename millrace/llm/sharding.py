@@ -84,12 +84,15 @@ def shard_documents(docs: DataFrame, shards: int, keep: Sequence[str] = ()) -> D
 
     Documents are in the order of doc_id, then of checksum and size; a null id comes first. A null
     text has size :data:`ROW_BYTES` and the checksum of the empty text. Repeated rows each
-    get a slot of their own.
+    get a slot of their own. Very long texts are measured whole and an empty table stays empty. Names in ``keep`` that
+    the result has anyway mean the result's own columns, not those of ``docs``. The texts are read once: the narrow rows are written.
     """
+    own = ("doc_id", "size", "text_crc32", "shard", "slot")
     narrow = docs.select(
-        "doc_id", text_bytes().alias("size"), F.crc32(text_or_empty()).alias("text_crc32"), *keep
+        "doc_id", text_bytes().alias("size"), F.crc32(text_or_empty()).alias("text_crc32"),
+        *[c for c in keep if c not in own],
     )
-    return assign_shards(narrow, "size", ["doc_id", "text_crc32", "size"], shards)
+    return assign_shards(materialise(narrow), "size", ["doc_id", "text_crc32", "size"], shards)
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:

@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.llm import mixing
 from millrace.llm.mixing import DIMENSIONS, add_mix_columns, mixing_rates, rake, sample_mix
 from tests.helpers import rows
 
@@ -30,7 +32,9 @@ def raked(table, targets, rounds=500):
     return weights
 
 
-def test_rake(spark):
+@pytest.mark.parametrize("one_task", [100_000, 0])
+def test_rake(spark, monkeypatch, one_task):
+    monkeypatch.setattr(mixing, "ONE_TASK", one_task)
     rng = np.random.default_rng(4)
     table = rng.integers(1, 1000, size=(4, 3, 2))
     targets = [rng.dirichlet(np.ones(n)) for n in table.shape]
@@ -49,9 +53,20 @@ def test_rake(spark):
         assert weight == pytest.approx(want[a, b, c], rel=1e-6)
 
 
+@pytest.mark.parametrize("one_task", [100_000, 0])
+def test_targets_that_cannot_be_met_are_told(spark, monkeypatch, one_task):
+    monkeypatch.setattr(mixing, "ONE_TASK", one_task)
+    # Every text of source a is English and every text of source b German.
+    cells = spark.createDataFrame([("a", "en", "x", 5), ("b", "de", "x", 5)], "source string, lang string, topic string, tokens long")
+    shares = {"source": [("a", 0.5), ("b", 0.5)], "lang": [("en", 0.9), ("de", 0.1)], "topic": [("x", 1.0)]}
+    frames = {d: spark.createDataFrame(s, "level string, target double") for d, s in shares.items()}
+    with pytest.warns(UserWarning, match="not met"):
+        rake(cells, frames, rounds=7)
+
+
 def test_sample_meets_targets_and_budget(docs):
     targets = {"lang": {"en": 0.5, "de": 0.3, "(none)": 0.2}}
-    mixed = sample_mix(add_mix_columns(docs), targets, budget=0.4).collect()
+    mixed = sample_mix(add_mix_columns(docs, F.col("topic")), targets, budget=0.4).collect()
     assert len(mixed) == 1500
     total = sum(r["mix_tokens"] for r in mixed)
     expected = sum(r["mix_tokens"] * r["mix_probability"] for r in mixed)
@@ -66,8 +81,8 @@ def test_sample_meets_targets_and_budget(docs):
 
 
 def test_choice_does_not_depend_on_partitions(docs):
-    first = rows(sample_mix(add_mix_columns(docs)), "doc_id", "mix_probability", "mix_kept")
-    again = rows(sample_mix(add_mix_columns(docs.repartition(7))), "doc_id", "mix_probability", "mix_kept")
+    first = rows(sample_mix(add_mix_columns(docs, F.col("topic"))), "doc_id", "mix_probability", "mix_kept")
+    again = rows(sample_mix(add_mix_columns(docs.repartition(7), F.col("topic"))), "doc_id", "mix_probability", "mix_kept")
     assert first == again
 
 
@@ -84,3 +99,13 @@ def test_edge_rows(spark):
     assert all(r["mix_kept"] for r in mixed.collect() if not r["mix_tokens"])
     assert sample_mix(add_mix_columns(df.where("false"))).collect() == []
     assert mixing_rates(add_mix_columns(df.where("text IS NULL"))).count() == 1
+
+
+def test_levels_of_other_types_and_clashing_columns(spark):
+    df = spark.createDataFrame(
+        [(1, "a b c", 7, None, 5, 1.0), (2, "d e", None, 2, 6, 2.0), (3, None, 7, 2, None, 3.0)],
+        "doc_id long, text string, source int, lang int, topic int, mix_draw double",
+    )
+    got = {(r["doc_id"], r["mix_source"], r["mix_lang"], r["mix_topic"], r["topic"]) for r in sample_mix(add_mix_columns(df)).collect()}
+    assert got == {(1, "7", "(none)", "short", 5), (2, "(none)", "2", "short", 6), (3, "7", "2", "empty", None)}
+    assert {r["mix_topic"] for r in add_mix_columns(df, F.col("topic")).collect()} == {"5", "6", "(none)"}

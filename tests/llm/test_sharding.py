@@ -54,3 +54,10 @@ def test_edge_rows(spark):
         slots = sorted(r[3] for r in got if r[2] == shard)
         assert slots == list(range(len(slots)))
     assert shard_documents(df.where("false"), 3).collect() == []
+
+
+def test_kept_columns_with_names_of_the_result(spark):
+    df = spark.createDataFrame([(1, "abc", 99, 98, "a"), (2, None, 97, 96, "b")], "doc_id long, text string, size int, slot int, source string")
+    got = shard_documents(df, 2, keep=["size", "source", "slot", "doc_id"])
+    assert sorted(got.columns) == ["doc_id", "shard", "size", "slot", "source", "text_crc32"]
+    assert {(r["doc_id"], r["size"], r["source"], r["slot"]) for r in got.collect()} == {(1, 11, "a", 0), (2, 8, "b", 0)}
