@@ -1,4 +1,9 @@
-"""Clean, mix and shard the documents: the stages, run one after the other."""
+"""Clean, mix and shard the documents: the stages, run one after the other.
+
+All stages take texts whole, however long. A null text counts as an empty one. An empty table stays empty. Repeated rows
+are judged alike and, but for near-duplicates, stay or go together. Further columns are carried along up to the last stage,
+whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -14,28 +19,31 @@ from millrace.sources import materialise, read_parquet
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model trained on ``labels`` rejects go."""
+    """Documents that a model trained on ``labels`` rejects go. Empty texts are scored like any other."""
     return drop_toxic(docs, fit_toxicity(docs, load(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return drop_near_duplicates(docs)
+    """The smallest doc_id stays of each group linked by a similarity of 0.8 of their five-word shingles.
+
+    Empty texts and rows without an id stay. Rows that repeat an id stay or go together.
+    """
+    return drop_near_duplicates(docs, percent=80, size=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a test item go."""
+    """Documents with a test item go; one of under 8 words only counts in a text that says nothing else. Empty texts stay."""
     return drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample by calibrated probabilities stays."""
+    """A sample by calibrated probabilities stays. Texts without words weigh nothing and stay; null levels are one level."""
     mixed = sample_mix(add_mix_columns(docs))
     return mixed.where("mix_kept").select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A place in one of 24 shards for every document that is left."""
+    """A place in one of 24 shards for every row that is left, a null id first; repeated rows get a slot each."""
     return shard_documents(docs, 24, keep=["source", "lang"])
 
 
