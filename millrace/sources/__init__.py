@@ -7,7 +7,7 @@ from millrace.sources.files import (
     read_parquet,
     write_parquet,
 )
-from millrace.sources.scratch import ensure_checkpoint_dir, persisted, scratch_path
+from millrace.sources.scratch import ensure_checkpoint_dir, persisted, release, scratch_path
 
 __all__ = [
     "ensure_checkpoint_dir",
@@ -16,6 +16,7 @@ __all__ = [
     "read_csv",
     "read_lines",
     "read_parquet",
+    "release",
     "scratch_path",
     "write_parquet",
 ]
