@@ -13,7 +13,6 @@ from pyspark.sql.types import ArrayType
 
 from millrace.operators.counts import top_k
 from millrace.operators.joins import lookup_join
-from millrace.sources.scratch import persisted
 
 
 def _vector(factors: DataFrame) -> Column:
@@ -23,9 +22,13 @@ def _vector(factors: DataFrame) -> Column:
 
 
 def fit_segments(factors: DataFrame, k: int = 20, seed: int = 42, max_iter: int = 20) -> KMeansModel:
-    """K-means on the ``features`` of the factors, which are persisted while it runs."""
-    with persisted(factors.select(_vector(factors).alias("_vector"))) as vectors:
-        return KMeans(featuresCol="_vector", k=k, seed=seed, maxIter=max_iter).fit(vectors)
+    """K-means on the ``features`` of the factors.
+
+    The solver keeps the points while it runs, as vectors with their norms. It would not if the table were
+    persisted here, and would decode every row in every iteration.
+    """
+    vectors = factors.select(_vector(factors).alias("_vector"))
+    return KMeans(featuresCol="_vector", k=k, seed=seed, maxIter=max_iter, solver="row").fit(vectors)
 
 
 def assign_segments(model: KMeansModel, factors: DataFrame) -> DataFrame:

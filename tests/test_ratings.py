@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from millrace.operators import (
@@ -110,3 +111,13 @@ def test_segment_spread_adds_up_to_the_cost(spark):
     assert sum(r["within"] + r["count"] * r["drift"] for r in parts) == pytest.approx(direct, rel=1e-9)
     assert max(r["drift"] for r in parts) > 1
     assert segment_spread(other, assigned.where("false")).collect() == []
+
+
+def test_k_means_keeps_the_points_itself(spark, monkeypatch):
+    """Of a persisted table it would decode every row in every iteration."""
+    data = [(i, [float(i % 5), float(i % 3)]) for i in range(200)]
+    factors = spark.createDataFrame(data, "id INT, features ARRAY<FLOAT>")
+    plain, seen = KMeans.fit, []
+    monkeypatch.setattr(KMeans, "fit", lambda self, df: (seen.append(df.storageLevel.useMemory), plain(self, df))[1])
+    assert len(fit_segments(factors, k=15, seed=1).clusterCenters()) == 15
+    assert seen == [False]
