@@ -35,6 +35,8 @@ CHUNK_WORDS = 16
 #: Counts, and bytes of them, that a task holds before it passes them on.
 HELD = 400_000
 HELD_BYTES = 64 << 20
+#: So many of the most common words have their places dealt out by the word after, too.
+COMMON = 2_000
 #: Rows in a batch that a task passes on.
 BATCH = 10_000
 #: The mark between pieces; it ends pieces, so no word is like it.
@@ -129,6 +131,10 @@ def _unescaped(phrase: Column) -> Column:
     return phrase
 
 
+def _escaped_lang(lang: Column) -> Column:
+    return F.replace(F.replace(lang, F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01"))
+
+
 def _joined(parts: list[pa.Array]) -> pa.Array:
     return pc.binary_join_element_wise(*parts, pa.scalar(GAP, pa.binary()))
 
@@ -192,15 +198,15 @@ def _runs(chunked: DataFrame, max_words: int) -> DataFrame:
         if held:
             yield from summed(held)
 
-    lang = F.replace(F.replace("lang", F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01"))
-    return chunked.select(lang.cast("binary").alias("lang"), "chunk", "n").mapInArrow(run, "key binary, n long")
+    lang = _escaped_lang(F.col("lang")).cast("binary").alias("lang")
+    return chunked.select(lang, "chunk", "n").mapInArrow(run, "key binary, n long")
 
 
 class _Beginnings:
-    """Sums over sorted keys of ``parts`` parts, for all beginnings of keys at once.
+    """Sums over keys of ``parts`` parts, equal beginnings next to each other, for all beginnings at once.
 
-    Beginnings at either end of the range may go on in the next one, so they are told whatever they add up
-    to, as is the number of all words of a language.
+    Languages and single words may come again, here or in another task, so they are told whatever they add
+    up to.
     """
 
     def __init__(self, parts: int, min_count: int):
@@ -209,12 +215,10 @@ class _Beginnings:
         self.open: list[tuple[list[bytes], int, bool] | None] = [None] * parts
 
     def _told(self, level: int, parts: list[pa.Array], sums: np.ndarray, at_end: np.ndarray) -> pa.Table:
-        told = (sums >= self.min_count) | at_end
+        told = (sums >= self.min_count) | at_end | (level < 2)
         if level:
             # An empty part is no word: the phrase is shorter and has been told at its own level.
             told &= pc.binary_length(parts[level]).to_numpy(zero_copy_only=False) > 0
-        else:
-            told[:] = True
         at = pa.array(np.flatnonzero(told))
         return pa.table({"key": _joined([p.take(at) for p in parts[: level + 1]]), "n": pa.array(sums[told])})
 
@@ -259,12 +263,32 @@ class _Beginnings:
         return [table for level in range(self.parts) for table in self._close(level, at_end=True)]
 
 
-def phrase_counts(chunked: DataFrame, max_words: int, min_count: int = 1) -> DataFrame:
+def common_words(docs: DataFrame) -> list[str]:
+    """The ``COMMON`` most common words, after their languages as in keys, by a 64th of each text.
+
+    They only balance the tasks, so fragments at either end and words of other splitting do no harm.
+    """
+    size = F.length("text")
+    part = F.substr("text", (F.rand(1) * size).cast("int") + 1, (size / 64).cast("int") + 64)
+    word = F.explode(F.split(F.lower(part), r"[\s.,;:!?]+")).alias("word")
+    found = docs.where("text IS NOT NULL").select(_escaped_lang(F.coalesce("lang", F.lit("und"))).alias("lang"), word)
+    most = found.groupBy("lang", "word").count().orderBy(F.desc("count")).limit(COMMON)
+    return [f"{row['lang']}\x00{row['word']}" for row in most.collect()]
+
+
+def phrase_counts(
+    chunked: DataFrame, max_words: int, min_count: int = 1, common: list[str] | None = None
+) -> DataFrame:
     """lang, phrase, words, n: the phrases of up to ``max_words`` words with ``min_count`` occurrences or more.
 
-    The empty phrase has the number of all words. Each place is shuffled as one row, by ranges of sorted
-    keys. There all phrases that begin alike are neighbours, so their beginnings are added up in the same
-    pass, and only frequent phrases and the ends of ranges leave it. A very common first word spans many ranges.
+    The empty phrase has the number of all words. Each place is shuffled as one row, by its language and first
+    word and, if that is one of :func:`common_words` (or these are not given), the second. There phrases that begin alike are made neighbours, so their beginnings are added up in the same
+    pass, and only frequent phrases and single words leave it. A very common first word spans all tasks; of a
+    very common pair a task gets as many rows as there are words after it, from each task before.
+
+    Rows are sorted by a number, and only those of the same pair by their bytes: by language, first word and
+    pair, each hashed. Should the hashes of two first words agree, their rows mix by pairs; the words are told
+    several times then, and added up after.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,8 +299,16 @@ def phrase_counts(chunked: DataFrame, max_words: int, min_count: int = 1) -> Dat
         for table in sums.end():
             yield from table.to_batches()
 
-    ranged = _runs(chunked, max_words).repartitionByRange("key").sortWithinPartitions("key")
-    parts = ranged.mapInArrow(run, "key binary, n long")
+    def start(words: int) -> Column:
+        return F.substring_index(F.col("key").cast("string"), "\x00", 1 + words)
+
+    # 8, 28 and 28 bits.
+    bits = [F.shiftleft(F.hash(start(words)).cast("long").bitwiseAND(F.lit(mask)), shift)
+            for words, mask, shift in ((0, 0xFF, 56), (1, 0xFFFFFFF, 28), (2, 0xFFFFFFF, 0))]
+    order = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+    by = start(2) if common is None else F.when(start(1).isin(common), start(2)).otherwise(start(1))
+    dealt = _runs(chunked, max_words).repartition(by).select("key", "n", order.alias("order"))
+    parts = dealt.sortWithinPartitions("order", "key").select("key", "n").mapInArrow(run, "key binary, n long")
     sums = parts.groupBy("key").agg(F.sum("n").alias("n"))
     split = F.split(F.col("key").cast("string"), "\x00")
     words = (F.size(split) - 1).alias("words")
@@ -309,8 +341,9 @@ def mine_collocations(
     A long text is one stream, cut into chunks; no phrases give no rows. Other columns are ignored.
     """
     window = max(1, max_words - 1)
-    chunked = dictionary(docs.select("lang", "text"), window)
-    frequent = materialise(phrase_counts(chunked, max_words, min_count))
+    texts = docs.select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    chunked = dictionary(texts, window)
+    frequent = materialise(phrase_counts(chunked, max_words, min_count, common_words(texts)))
     candidates = frequent.where("words >= 2").withColumnRenamed("n", "a")
 
     # Every part of a candidate is as frequent as the candidate, so it is in the table, too.

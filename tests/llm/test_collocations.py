@@ -4,8 +4,19 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from millrace.llm import collocations
-from millrace.llm.collocations import chunks, dictionary, mine_collocations, phrase_counts, stream
+from millrace.llm.collocations import (
+    _Beginnings,
+    chunks,
+    common_words,
+    dictionary,
+    mine_collocations,
+    phrase_counts,
+    stream,
+)
 from tests.helpers import rows
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -152,3 +163,22 @@ def test_beginnings_over_ranges_and_batches():
         assert {k: n for k, n in got.items() if k in frequent} == frequent
         assert all(got[k] < 30 for k in got if k not in frequent)
         assert told <= len(frequent) + 8 * len(edges)
+
+
+def test_mixed_first_words_are_told_and_ranges_not_sampled(spark, capsys):
+    """Rows of two first words may mix by pairs; nothing is read twice to find ranges."""
+    keys = [b"en\x00a\x00b\x00c", b"en\x00x\x00y\x00", b"en\x00a\x00d\x00"]
+    sums = _Beginnings(4, 10)
+    told = sums.add(pa.array(keys, pa.binary()), np.array([7, 20, 6])) + sums.end()
+    found = Counter()
+    for table in told:
+        for row in table.to_pylist():
+            found[row["key"]] += row["n"]
+    assert (found[b"en\x00a"], found[b"en\x00x"], found[b"en\x00x\x00y"], found[b"en"]) == (13, 20, 20, 33)
+    docs = spark.createDataFrame([("a b c. a b d " * 9, "en"), (None, "en"), ("a b c", None)], "text string, lang string")
+    plain = phrase_counts(dictionary(docs, 2), 3)
+    for common in ([], ["en\x00a"], common_words(docs)):
+        counted = phrase_counts(dictionary(docs, 2), 3, common=common)
+        assert rows(counted) == rows(plain) and rows(counted.where("phrase = 'a b' AND lang = 'en'"), "n") == [(18,)]
+    plain.explain()
+    assert "rangepartitioning" not in capsys.readouterr().out
